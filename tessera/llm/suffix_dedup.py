@@ -16,22 +16,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, utf8
+from .common import cut, small_batches, utf8
 
-LENGTH, K = 200, 48
+LENGTH, K = 200, 32
 #: Distinct windows of an anchor that are sorted in one task; the starts of an anchor with more are counted one by one.
 SORTED = 20_000
-_SLICE = 1 << 20
+_SLICE = 1 << 16
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = h ^ (h >> np.uint64(29))
-    h = h * np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(32))
-
-
 def _powers(n: int, base: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[:1] = 1
@@ -50,62 +44,95 @@ class Hashes:
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * Hashes._up[:n], out=self.sums[1:])
 
-    def every(self, size: int) -> np.ndarray:
-        n = len(self.sums) - size
-        return _mix((self.sums[size:] - self.sums[:n]) * Hashes._down[:n])
-
     def at(self, start: np.ndarray, size) -> np.ndarray:
         return (self.sums[start + size] - self.sums[start]) * Hashes._down[start]
 
 
-def anchors(text: bytes) -> tuple[np.ndarray, ...]:
-    """Hash, place, first and last start of each run of starts whose least K-byte fingerprint is the same one."""
-    parts = []
-    for at in range(0, len(text) - LENGTH + 1, _SLICE):
-        part = np.frombuffer(text, np.uint8, min(len(text) - at, _SLICE + LENGTH - 1), at)
-        width = LENGTH - K + 1
-        # The place breaks ties to the left: equal fingerprints in one window must give one choice.
-        h = Hashes(part).every(K)
-        m = len(h) - width + 1
-        pad = np.full(-len(h) % width, np.iinfo(np.uint64).max, np.uint64)
-        block = np.concatenate([h, pad]).reshape(-1, width)
-        ahead = np.minimum.accumulate(block, 1).ravel()
-        behind = np.minimum.accumulate(block[:, ::-1], 1)[:, ::-1].ravel()
-        least = np.minimum(behind[:m], ahead[width - 1: width - 1 + m])
-        # Leftmost place of the least value from each start on: the next occurrence of that value.
-        minimal = np.flatnonzero(_is_least(h, least, width))
-        place = minimal[np.searchsorted(minimal, np.arange(m))]
-        wrong = h[place] != least
-        while wrong.any():  # a smaller window's least stands before; go on to the next candidate
-            place[wrong] = minimal[np.searchsorted(minimal, place[wrong], "right")]
-            wrong = h[place] != least
-        new = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-        parts.append((h[place[new]], place[new] + at, new + at, np.append(new[1:], m) - 1 + at))
-    if not parts:
-        return (np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 3)
-    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
-
-
-def _is_least(h: np.ndarray, least: np.ndarray, width: int) -> np.ndarray:
-    """Places whose value is the least of some window that holds them."""
-    n, m = len(h), len(least)
-    pad = np.concatenate([np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)])
-    # The largest of the least values over the windows [i - width + 1, i] that hold place i.
-    block = np.concatenate([pad, np.zeros(-len(pad) % width, np.uint64)]).reshape(-1, width)
-    ahead = np.maximum.accumulate(block, 1).ravel()
-    behind = np.maximum.accumulate(block[:, ::-1], 1)[:, ::-1].ravel()
-    most = np.maximum(behind[:n], ahead[width - 1: width - 1 + n])
-    return h <= most if m else np.zeros(n, bool)
+_ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5))
+
+
+def fingerprints(raw: bytes) -> np.ndarray:
+    """A 64-bit fingerprint of each stretch of K bytes; four overlapping words of eight bytes make one."""
+    n = len(raw) - K + 1
+    words = np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,)).copy()
+    pair = words[:-8] * _ODD[0]
+    pair += words[8:] * _ODD[1]
+    h = pair[:n] * _ODD[2]
+    h += pair[16: 16 + n] ^ (pair[16: 16 + n] >> np.uint64(31))
+    h ^= h >> np.uint64(29)
+    h *= _ODD[3]
+    h ^= h >> np.uint64(32)
+    return h
+
+
+def _anchored(raw: bytes, valid: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Hash, place, first and last start of the runs of valid starts whose least fingerprint is the same one.
+
+    Of equal fingerprints in a stretch the leftmost counts, so equal stretches make the same choice."""
+    h = fingerprints(raw)
+    high = (h >> np.uint64(32)).astype(np.uint32)
+    width, least, have = LENGTH - K + 1, high, 1
+    while 2 * have <= width:
+        least = np.minimum(least[:-have], least[have:])
+        have *= 2
+    if have < width:
+        least = np.minimum(least[: len(least) - (width - have)], least[width - have:])
+    new = valid.copy()
+    new[1:] &= ~valid[:-1] | (least[1:] != least[:-1])
+    first = np.flatnonzero(new)
+    ends = np.flatnonzero(valid & np.append(~valid[1:] | new[1:], True))
+    done, span = [], np.arange(width)
+    while len(first):
+        place = first + high[first[:, None] + span].argmin(1)
+        last = np.minimum(ends, place)  # the place falls out before the value does: the run goes on with the next one
+        done.append((h[place], place, first, last))
+        more = ends > last
+        first, ends = last[more] + 1, ends[more]
+    return tuple(np.concatenate(x) for x in zip(*done, strict=True)) if done else (np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 3)
+
+
+def anchors_of(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """Which text, hash, place, first and last start of each run of starts; texts are laid end to end in short buffers."""
+    parts: list[tuple] = []
+    held: list[tuple[int, int, bytes]] = []
+
+    def flush():
+        raw = b"".join(x for _, _, x in held)
+        begin = np.cumsum([0] + [len(x) for _, _, x in held])
+        valid = np.zeros(len(raw) - LENGTH + 1, bool)
+        for b, (_, _, x) in zip(begin.tolist(), held, strict=False):
+            valid[b: b + len(x) - LENGTH + 1] = True
+        h, place, first, last = _anchored(raw, valid)
+        which = np.searchsorted(begin, first, "right") - 1
+        shift = np.array([at for _, at, _ in held])[which] - begin[which]
+        parts.append((np.array([i for i, _, _ in held])[which], h, place + shift, first + shift, last + shift))
+        held.clear()
+
+    size = 0
+    for i, t in enumerate(texts):
+        for at in range(0, len(t) - LENGTH + 1, _SLICE):
+            held.append((i, at, t if len(t) <= _SLICE else t[at: at + _SLICE + LENGTH - 1]))
+            size += len(held[-1][2])
+            if size >= _SLICE:
+                flush()
+                size = 0
+    if held:
+        flush()
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64), np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 3)
 
 
 def _common(hashes: Hashes, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Length of the common extension of suffixes a and b, LENGTH at most, by binary search over hashes."""
-    low, high = np.zeros(len(a), np.int64), np.full(len(a), LENGTH)
+    out = np.full(len(a), LENGTH)
+    left = np.flatnonzero(hashes.at(a, LENGTH) != hashes.at(b, LENGTH))
+    low, high = np.zeros(len(left), np.int64), np.full(len(left), LENGTH - 1)
+    a, b = a[left], b[left]
     while (low < high).any():
         mid = (low + high + 1) >> 1
         same = hashes.at(a, mid) == hashes.at(b, mid)
         low, high = np.where(same, mid, low), np.where(same, high, mid - 1)
-    return low
+    out[left] = low
+    return out
 
 
 def sort_suffixes(buf: np.ndarray, hashes: Hashes, start: np.ndarray, segment: np.ndarray) -> np.ndarray:
@@ -185,9 +212,11 @@ def repeated_starts(windows: list[bytes], counts: list[int], offsets: list[int],
             hit = np.array([i for v in seen.values() if len(v) > 1 for i in v], np.int64)
         else:
             hit = np.concatenate([order[next_same], order[next_same + 1]])
-        w, k = which[hit], inner[hit]
-        for i in np.unique(w).tolist():
-            out[some[i]][k[w == i]] = True
+        flat = np.zeros(n.sum(), bool)
+        first = np.cumsum(n) - n
+        flat[first[which[hit]] + inner[hit]] = True
+        for i, b, m in zip(some.tolist(), first.tolist(), n.tolist(), strict=True):
+            out[i] |= flat[b: b + m]
     return out
 
 
@@ -200,18 +229,17 @@ def _key(x: bytes) -> tuple[int, int]:
 
 
 def _texts(docs: DataFrame, text: str) -> DataFrame:
-    """k1, k2, t: each distinct text, once for a task at most, dealt out by its key."""
+    """k1, k2, t: each distinct text that is long enough, once for a task at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
         for batch in batches:
-            keys = [_key(x.as_py()) for x in batch.column(0)]
+            keys = [_key(x) for x in batch.column(0).to_pylist()]
             new = [not (k in seen or seen.add(k)) for k in keys]
-            got = batch.filter(pa.array(new))
             kept = [k for k, n in zip(keys, new, strict=True) if n]
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in kept], pa.int64()), pa.array([k[1] for k in kept], pa.int64()), got.column(0)], names=["k1", "k2", "t"])
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in kept], pa.int64()), pa.array([k[1] for k in kept], pa.int64()), batch.column(0).filter(pa.array(new, pa.bool_()))], names=["k1", "k2", "t"])
 
-    return docs.select(utf8(text).alias("t")).where(F.length("t") >= LENGTH).mapInArrow(run, "k1 long, k2 long, t binary").repartition("k1", "k2")
+    return docs.select(utf8(text).alias("t")).where(F.length("t") >= LENGTH).mapInArrow(run, "k1 long, k2 long, t binary")
 
 
 def _keys(docs: DataFrame, text: str) -> DataFrame:
@@ -225,38 +253,33 @@ def _keys(docs: DataFrame, text: str) -> DataFrame:
     return docs.select("doc_id", utf8(text).alias("t")).mapInArrow(run, _KEYED + ", n_bytes long, sha string")
 
 
-def _anchor_rows(texts: DataFrame) -> DataFrame:
-    """h, k1, k2, q for each anchor of each distinct text; q packs place, place - first start, last - first start."""
+def _anchor_rows(docs: DataFrame, text: str) -> DataFrame:
+    """h, k1, q for each anchor of each distinct text, once for a task; q packs place, place - first start, last - first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
         for batch in batches:
-            k1s, k2s = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            hs, qs, n, keep = [], [], [], []
-            for a, b, x in zip(k1s, k2s, batch.column(2), strict=True):
-                if (a, b) in seen:
-                    continue
-                seen.add((a, b))
-                h, p, s, e = anchors(x.as_py())
-                hs.append(h)
-                qs.append(p << 16 | (p - s) << 8 | (e - s))
-                n.append(len(h))
-                keep.append((a, b))
-            if not keep:
-                continue
-            one, two = (np.repeat(np.array([k[i] for k in keep], np.int64), n) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view(np.int64)), pa.array(one), pa.array(two), pa.array(np.concatenate(qs).astype(np.int64))], names=["h", "k1", "k2", "q"])
+            keys, texts = [], []
+            for x in batch.column(0).to_pylist():
+                k = _key(x)
+                if k not in seen:
+                    seen.add(k)
+                    keys.append(k[0])
+                    texts.append(x)
+            which, h, place, first, last = anchors_of(texts)
+            q = place << 16 | (place - first) << 8 | (last - first)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.array(keys, np.int64)[which]), pa.array(q.astype(np.int64))], names=["h", "k1", "q"])
 
-    return texts.mapInArrow(run, "h long, k1 long, k2 long, q long")
+    return docs.select(utf8(text).alias("t")).where(F.length("t") >= LENGTH).mapInArrow(run, "h long, k1 long, q long")
 
 
 def _window_rows(held: DataFrame) -> DataFrame:
-    """h, w, k1, k2, q, n, d, bytes for each anchor of `qs`; the window's bytes and its count only once in a batch."""
+    """h, w, k1, k2, q, n, d, crowded, bytes for each anchor of `qs`; the window's bytes and its count only once in a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set = set()
         for batch in batches:
-            cols = [[] for _ in range(8)]
+            cols = [[] for _ in range(9)]
             first: dict = {}
             for k1, k2, text, pairs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 if (k1, k2) in done:
@@ -272,12 +295,12 @@ def _window_rows(held: DataFrame) -> DataFrame:
                         first[h, w] = len(cols[0])
                     else:
                         cols[5][i] += 1
-                    for c, v in zip(cols, (h, w, k1, k2, q, 1 if i is None else 0, d, window if i is None else None), strict=True):
+                    for c, v in zip(cols, (h, w, k1, k2, q, 1 if i is None else 0, d, p["crowded"], window if i is None else None), strict=True):
                         c.append(v)
-            types = (pa.int64(),) * 7 + (pa.binary(),)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["h", "w", "k1", "k2", "q", "n", "d", "bytes"])
+            types = (pa.int64(),) * 7 + (pa.bool_(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["h", "w", "k1", "k2", "q", "n", "d", "crowded", "bytes"])
 
-    return held.mapInArrow(run, "h long, w long, k1 long, k2 long, q long, n long, d long, bytes binary")
+    return held.mapInArrow(run, "h long, w long, k1 long, k2 long, q long, n long, d long, crowded boolean, bytes binary")
 
 
 def _decided(carriers: DataFrame) -> DataFrame:
@@ -357,19 +380,23 @@ def repeated_passages(docs: DataFrame, text: str = "text", sorted_at_once: int =
     more stands in another row loses all of it. Rows may repeat an id or have none; an empty table gives no rows; other
     columns are ignored."""
     small_batches(docs.sparkSession)
-    rows, texts = _keys(docs, text), _texts(docs, text)
-    copies = rows.groupBy("k1", "k2").agg(F.count("*").alias("copies"))
-    found = _anchor_rows(texts)
-    place = F.xxhash64("k1", "k2", "q")
-    repeated = found.select("h", place.alias("z")).groupBy("h").agg(F.min("z").alias("z1"), F.max("z").alias("z2"), F.count("*").alias("m")).where("z1 <> z2").select("h", "m")
-    wanted = found.join(repeated, "h").groupBy("k1", "k2").agg(F.collect_list(F.struct("h", "q")).alias("qs"))
-    windows = _window_rows(texts.join(wanted, ["k1", "k2"]).select("k1", "k2", "t", "qs"))
+    # First the anchors that stand at two places, by document: narrow rows, no text moves.
+    found = _anchor_rows(docs, text).repartition("h")
+    place = F.xxhash64("k1", "q")
+    repeated = found.groupBy("h").agg(F.min(place).alias("z1"), F.max(place).alias("z2"), F.count("*").alias("m")).where("z1 <> z2").select("h", (F.col("m") > sorted_at_once).alias("crowded"))
+    wanted = cut(found.join(repeated, "h").groupBy("k1").agg(F.collect_set(F.struct("h", "q", "crowded")).alias("qs")))
+    crowded = not wanted.where(F.exists("qs", lambda x: x["crowded"])).isEmpty()
+    # Then the windows of those, with their bytes once in a batch: sorted under their anchor, or counted start by start.
+    texts = _texts(docs, text).repartition("k1")
+    windows = _window_rows(texts.join(wanted, "k1").select("k1", "k2", "t", "qs"))
     carriers = windows.where(F.col("bytes").isNotNull())
-    crowded = repeated.where(F.col("m") > sorted_at_once).select("h")
-    usual = carriers.join(crowded, "h", "left_anti").repartition("h").sortWithinPartitions("h")
-    masks = _decided(usual).unionByName(_counted(carriers.join(crowded, "h", "left_semi")))
+    masks = _decided(carriers.where(~F.col("crowded")).repartition("h").sortWithinPartitions("h"))
+    if crowded:
+        masks = masks.unionByName(_counted(carriers.where("crowded")))
     hits = windows.select("h", "w", "k1", "k2", "q").join(masks, ["h", "w"]).groupBy("k1", "k2").agg(F.collect_list(F.struct("q", "mask")).alias("hits"))
-    gone = _removed(texts.join(hits, ["k1", "k2"]).select("k1", "k2", "t", "hits")).dropDuplicates(["k1", "k2"])
+    gone = _removed(texts.join(hits.withColumnRenamed("k2", "key2"), "k1").where("k2 = key2").select("k1", "k2", "t", "hits")).dropDuplicates(["k1", "k2"])
+    rows = _keys(docs, text)
+    copies = rows.groupBy("k1", "k2").agg(F.count("*").alias("copies"))
     out = rows.join(copies, ["k1", "k2"]).join(gone, ["k1", "k2"], "left")
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)
     nothing = F.lit(hashlib.sha256(b"").hexdigest())
