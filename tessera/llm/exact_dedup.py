@@ -55,7 +55,7 @@ class StreamingDeduper:
     def ingest(self) -> StreamingDeduper:
         """Take in what the state has not seen yet, and return."""
         conf, held = self.spark.conf, {}
-        for k, v in {"spark.sql.streaming.stateStore.providerClass": ROCKS, "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true", "spark.sql.streaming.noDataMicroBatches.enabled": "false"}.items():
+        for k, v in {"spark.sql.streaming.stateStore.providerClass": ROCKS, "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true", "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false", "spark.sql.streaming.noDataMicroBatches.enabled": "false"}.items():
             held[k] = conf.get(k, None)
             conf.set(k, v)
         try:
