@@ -198,7 +198,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", percent: int = 80, band
         tops = large.groupBy("k", "root").agg(F.min(F.struct("id", "n", "root")).alias("x"))
         heads = tops.groupBy("k").agg(F.min("x").alias("h1"), F.max("x").alias("h2"))
         near = large.select("k", one.alias("y"), F.array(*(F.lag(one, i).over(by) for i in range(1, NEAR + 1))).alias("xs")).join(heads, "k")
-        near = near.select("y", F.explode(F.concat("xs", F.array("h1", "h2"))).alias("x")).where("x is not null and x.root <> y.root").where(fits(F.col("x.n"), F.col("y.n")))
+        others = F.filter(F.array_distinct(F.concat("xs", F.array("h1", "h2"))), lambda x: x.isNotNull() & (x["root"] != F.col("y.root")) & fits(x["n"], F.col("y.n")))
+        near = near.select("y", F.explode(others).alias("x"))
         pairs = pairs.union(near.select(F.least("x.id", "y.id"), F.greatest("x.id", "y.id"))).distinct()
         pairs = cut(pairs.join(done, ["a", "b"], "left_anti"))
         if pairs.isEmpty():
