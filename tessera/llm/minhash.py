@@ -21,8 +21,8 @@ from .components import components
 WORDS = 5
 BANDS, ROWS = 32, 5
 RING = 1 << 20
-#: In the second pass, buckets of up to so many representatives compare all of them; larger ones the first and the NEAR before.
-SMALL, NEAR = 32, 8
+#: Members, and shingles, of a block: two blocks are compared in memory.
+BLOCK, SHINGLES = 128, 1 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASE = 0x9E3779B97F4A7C15
@@ -163,6 +163,89 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, text: str, percent: int) -> Da
     return both.mapInArrow(run, "a long, b long")
 
 
+def _groups(keyed: DataFrame) -> DataFrame:
+    """hub, id, n: the members of each bucket under the bucket's hub, the member that shares buckets with most others.
+
+    Members of one bucket share its hub, and a hub's buckets hold much the same members: far fewer rows than the buckets'."""
+    shared = keyed.groupBy("k").agg(F.count("*").alias("m"), F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("k", "m")
+    held = cut(keyed.join(shared, "k").select("k", "m", "id", "n"))
+    weights = held.groupBy("id").agg(F.sum("m").alias("w"))
+    hubs = held.join(weights, "id").groupBy("k").agg(F.min(F.struct((-F.col("w")).alias("less"), "id")).alias("h"))
+    return held.join(hubs.select("k", F.col("h.id").alias("hub")), "k").select("hub", "id", "n").distinct()
+
+
+def _cells(members: DataFrame) -> DataFrame:
+    """hub, i, j, block, id, root: each two members of a hub that have different roots meet in a cell of two blocks.
+
+    members: hub, id, n, root. The members of a hub's most frequent root need not meet each other, so their blocks meet only
+    those of the others. A block has about BLOCK members and SHINGLES shingles, so a cell fits in memory however large the
+    group; a small group is one cell."""
+    per = members.groupBy("hub", "root").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
+    per = per.groupBy("hub").agg(F.max(F.struct("c", "root", "s")).alias("top"), F.sum("c").alias("g"), F.sum("s").alias("s")).where(F.col("g") > F.col("top.c"))
+    blocks = lambda c, s: F.greatest(F.lit(1), F.ceil(c / BLOCK), F.ceil(s / SHINGLES)).cast("int")
+    one = (F.col("g") <= 2 * BLOCK) & (F.col("s") <= 2 * SHINGLES)
+    per = per.select("hub", F.when(~one, F.col("top.root")).alias("top"), F.when(one, 1).otherwise(blocks(F.col("g") - F.col("top.c"), F.col("s") - F.col("top.s"))).alias("few"), F.when(one, 0).otherwise(blocks(F.col("top.c"), F.col("top.s"))).alias("many"))
+    at = members.join(per, "hub").withColumn("bulk", F.coalesce(F.col("root") == F.col("top"), F.lit(False)))
+    spot = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+    at = at.withColumn("block", F.when(F.col("bulk"), F.col("few") + spot(F.col("many"))).otherwise(spot(F.col("few"))))
+    meets = F.sequence(F.lit(0), F.when(F.col("bulk"), F.col("few") - 1).otherwise(F.col("few") + F.col("many") - 1))
+    at = at.select("hub", "id", "root", "block", F.explode(meets).alias("_o"))
+    return at.select("hub", F.least("block", "_o").alias("i"), F.greatest("block", "_o").alias("j"), "block", "id", "root")
+
+
+def cell_links(members: list[tuple[int, int, int, bytes]], percent: int) -> list[tuple[int, int]]:
+    """Links that join all roots of a cell that whole sets join; members: block, id, root, text.
+
+    In a cell of two blocks only members of different blocks are compared, as each block has a cell of its own."""
+    sets = list(shingle_sets([m[3] for m in members]))
+    full = [k for k, x in enumerate(sets) if len(x)]
+    if len(full) < 2:
+        return []
+    block, ids, roots = (np.array([members[k][c] for k in full], np.int64) for c in range(3))
+    n = np.array([len(sets[k]) for k in full])
+    start = np.concatenate([[0], np.cumsum(n)[:-1]])
+    codes = np.unique(np.concatenate([sets[k] for k in full]), return_inverse=True)[1]
+    own = np.unique(roots, return_inverse=True)[1]
+    two, out = block.min() != block.max(), []
+    mark = np.zeros(int(codes.max()) + 1, np.uint8)
+    for x in np.flatnonzero(own != np.bincount(own).argmax()):
+        may = (own != own[x]) & (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x]))
+        if two:
+            may &= block != block[x]
+        if not may.any():
+            continue
+        of = codes[start[x]:start[x] + n[x]]
+        mark[of] = 1
+        shared = np.add.reduceat(mark[codes], start, dtype=np.int64)
+        mark[of] = 0
+        for y in np.flatnonzero(may & (100 * shared >= percent * (n + n[x] - shared))):
+            if own[x] != own[y]:
+                out.append((int(min(ids[x], ids[y])), int(max(ids[x], ids[y]))))
+                own[own == own[y]] = own[x]
+    return out
+
+
+def _cell_pass(cells: DataFrame, docs: DataFrame, text: str, percent: int) -> DataFrame:
+    rows = cells.join(docs.select(F.col("doc_id").alias("id"), utf8(text).alias("t")), "id").select("hub", "i", "j", "block", "id", "root", "t")
+    rows = rows.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, links = None, [], []
+        for batch in batches:
+            heads = zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True)
+            for at, row in zip(heads, zip(*(batch.column(c).to_pylist() for c in range(3, 7)), strict=True), strict=True):
+                if at != key:
+                    links += cell_links(held, percent)
+                    key, held = at, []
+                held.append(row)
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+            links = []
+        links = cell_links(held, percent)
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row.
 
@@ -174,40 +257,16 @@ def near_duplicates(docs: DataFrame, text: str = "text", percent: int = 80, band
     full = seen.where(F.col("n_shingles") > 0)
     classes = full.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
     reps = full.join(classes.where(F.col("rep").isNotNull()), ["d1", "d2"]).where(F.col("doc_id") == F.col("rep"))
-    keyed = reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.explode("bands").alias("k"))
-    shared = keyed.groupBy("k").agg(F.count("*").alias("m"), F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("k", "m", "first")
-    held = cut(keyed.join(shared, "k").select("k", "m", "id", "n", "first"))
-    sizes = held.where("id = first").select("k", F.col("n").alias("n0")).dropDuplicates(["k"])
-    fits = lambda a, b: (100 * F.least(a, b) >= percent * F.greatest(a, b))
-    # First every member with its bucket's first: near copies become one component with few comparisons.
-    star = held.where("id <> first").join(sizes, "k").where(fits(F.col("n"), F.col("n0"))).select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
+    groups = cut(_groups(reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.explode("bands").alias("k"))))
+    # Large groups first: most near copies of a hub become one component with one comparison each.
+    large = groups.groupBy("hub").agg(F.count("*").alias("g"), F.min(F.when(F.col("id") == F.col("hub"), F.col("n"))).alias("n0")).where(F.col("g") > 2 * BLOCK)
+    star = groups.join(large, "hub").where((F.col("id") != F.col("hub")) & (100 * F.least("n", "n0") >= percent * F.greatest("n", "n0"))).select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     links = cut(_confirmed(star, docs, text, percent))
-    done = star
-    while True:
-        roots = cut(components(links))
-        # Then members of one bucket that are not yet one component.
-        open_ = held.join(roots.toDF("id", "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-        mixed = open_.groupBy("k").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 < r2").select("k")
-        rest = open_.join(mixed, "k")
-        few = rest.where(F.col("m") <= SMALL).select("k", "id", "n", "root")
-        other = few.toDF("k", "id2", "n2", "root2")
-        pairs = few.join(other, "k").where((F.col("id") < F.col("id2")) & (F.col("root") != F.col("root2")) & fits(F.col("n"), F.col("n2"))).select(F.col("id").alias("a"), F.col("id2").alias("b"))
-        one = F.struct("id", "n", "root")
-        large = rest.where(F.col("m") > SMALL)
-        by = Window.partitionBy("k").orderBy("n", "id")
-        tops = large.groupBy("k", "root").agg(F.min(F.struct("id", "n", "root")).alias("x"))
-        heads = tops.groupBy("k").agg(F.min("x").alias("h1"), F.max("x").alias("h2"))
-        near = large.select("k", one.alias("y"), F.array(*(F.lag(one, i).over(by) for i in range(1, NEAR + 1))).alias("xs")).join(heads, "k")
-        others = F.filter(F.array_distinct(F.concat("xs", F.array("h1", "h2"))), lambda x: x.isNotNull() & (x["root"] != F.col("y.root")) & fits(x["n"], F.col("y.n")))
-        near = near.select("y", F.explode(others).alias("x"))
-        pairs = pairs.union(near.select(F.least("x.id", "y.id"), F.greatest("x.id", "y.id"))).distinct()
-        pairs = cut(pairs.join(done, ["a", "b"], "left_anti"))
-        if pairs.isEmpty():
-            break
-        more = cut(_confirmed(pairs, docs, text, percent))
-        if more.isEmpty():
-            break
-        links, done = links.union(more), done.union(pairs)
+    roots = cut(components(links))
+    # Then all members of a group that are not yet one component, block by block.
+    members = groups.join(roots.toDF("id", "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    links = links.union(_cell_pass(_cells(members), docs, text, percent))
+    roots = components(links)
     named = classes.join(roots.toDF("rep", "root"), "rep", "left").select("d1", "d2", F.coalesce("root", "rep").alias("component_id"))
     out = full.join(named, ["d1", "d2"]).select("doc_id", "n_shingles", "component_id")
     out = out.union(seen.where(F.col("n_shingles") == 0).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))

@@ -88,7 +88,9 @@ def _sets(rows):
     return out
 
 
-def test_minhash_against_brute_force(spark, docs):
+@pytest.mark.parametrize("block", [minhash.BLOCK, 3])  # small blocks: large groups take the hub's pass and several cells
+def test_minhash_against_brute_force(spark, docs, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK", block)
     rng = random.Random(4)
     base = [f"w{i}" for i in range(200)]
     rows = [(i, " ".join(rng.choice("pqrs") + w if rng.random() < 0.012 else w for w in base)) for i in range(60)] + [(r.doc_id, r.text) for r in docs.collect() if r.doc_id is not None]
