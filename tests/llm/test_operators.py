@@ -130,6 +130,38 @@ def test_simhash_and_lines(spark, docs):
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
 
 
+def _lines_that_go(spark, rows):
+    """Ids to leave out by edit similarity 0.8 of all pairs, one normalised line a row."""
+    df = spark.createDataFrame(rows, "i long, p string")
+    other = df.toDF("j", "q")
+    near = df.crossJoin(other).where("i < j and 5 * levenshtein(p, q) <= greatest(length(p), length(q))").select("i", "j").collect()
+    root = {i: i for i, _ in rows}
+    find = lambda x: x if root[x] == x else find(root[x])
+    for a, b in near:
+        x, y = sorted((find(a), find(b)))
+        root[y] = x
+    return {i for i in root if find(i) != i}
+
+
+def test_near_lines_against_brute_force(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice(["la", "ne", "tis", "or", "em", "du", "kha", "vi"]) for _ in range(rng.randint(1, 4)))
+    rows = []
+    for n in (4, 6, 10, 20, 30, 60, 100):
+        for _ in range(8):
+            base = [word() for _ in range(n)]
+            rows.append(" ".join(base))
+            for share in (0.02, 0.1, 0.15):
+                near = list(base)
+                for k in rng.sample(range(n), max(1, int(share * n))):
+                    near[k] = word()
+                rows.append(" ".join(near))
+    rows = list(enumerate(dict.fromkeys(rows)))
+    want = _lines_that_go(spark, rows)
+    got = {r.doc_id for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).where("lines_removed > 0").collect()}
+    assert len(want) > 100 and got <= want and len(got) >= 0.97 * len(want), (len(got), len(want))
+
+
 def test_warc(spark):
     pages = spark.createDataFrame([(1, "http://a/", '<html lang="en"><title>T &amp; u</title><script>x</script><p>one<p>two <a href="/z">z</a>'), (2, None, None)], "page_id long, url string, html string")
     got = {(r.page_id, r.record_type): r for r in warc.derive(warc.page_responses(pages).withColumn("error", F.lit(1))).collect()}
