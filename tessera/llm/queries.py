@@ -41,7 +41,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup.dedup_lines(docs).select("doc_id", "lines_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    return line_dedup.dedup_lines(docs, least_words=1).select("doc_id", "lines_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -162,6 +162,15 @@ def test_near_lines_against_brute_force(spark):
     assert len(want) > 100 and got <= want and len(got) >= 0.97 * len(want), (len(got), len(want))
 
 
+def test_short_lines(spark):
+    import corpus_pipeline
+
+    rows = [(1, "One two\n" + "x" * 40 + "\nlone\n\nhello wonderful"), (2, "one  TWO\n" + "x" * 40 + "\nother\n\nhello wonderfuls"), (3, "two words\nlone")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in corpus_pipeline.dedup_lines(spark, df, "").collect()}
+    assert got == {1: rows[0][1], 2: "other\n", 3: "two words"}
+
+
 def test_warc(spark):
     pages = spark.createDataFrame([(1, "http://a/", '<html lang="en"><title>T &amp; u</title><script>x</script><p>one<p>two <a href="/z">z</a>'), (2, None, None)], "page_id long, url string, html string")
     got = {(r.page_id, r.record_type): r for r in warc.derive(warc.page_responses(pages).withColumn("error", F.lit(1))).collect()}
