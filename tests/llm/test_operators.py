@@ -66,6 +66,36 @@ def test_toxicity(spark, docs):
     assert toxicity.score(docs.limit(0), none).count() == 0 and none.scorer()(b"x") == 0.0
 
 
+def test_toxicity_of_stems_and_of_rare_words():
+    """Toxic rows that share stems only, each with an ending of its own, and insults of which one is a tenth as frequent."""
+    rng = random.Random(12)
+    part = lambda: rng.choice(["la", "ne", "tis", "or", "em", "du", "qua", "vel", "ir", "os"])
+    word = lambda: "".join(part() for _ in range(rng.randint(1, 4)))
+    def text(marks):
+        ws = [word() for _ in range(150)]
+        for m in marks:
+            ws[rng.randrange(150)] = m
+        return " ".join(ws).encode()
+    stem = lambda: [rng.choice(["zephk", "kromwy"]) + word() for _ in range(8)]
+    rare = lambda: ["wretchworm" if rng.random() < 0.1 else "despicable"] * 4
+    for marks in (stem, rare):
+        rows = [(y, text(marks() if y else ())) for y in (k % 4 == 0 for k in range(1600))]
+        one = toxicity.CompressionToxicity.fit([(int(y), x) for y, x in rows[:1000]]).scorer()
+        caught, false = (np.mean([one(x) >= 0.7 for y, x in rows[1000:] if y == side]) for side in (True, False))
+        assert caught > 0.9 and false < 0.08, (caught, false)
+    assert [one(text(["wretchworm"] * 4)) >= 0.7 for _ in range(20)].count(True) > 15
+    assert one(b"") < 0.7
+
+
+def test_toxicity_edges(spark):
+    rows = [(1, None), (2, ""), (3, "a b"), (3, "a b"), (None, "a b"), (5, "long " * 100_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("PREDICTED", F.lit("x"))
+    got = toxicity.score(df, toxicity.CompressionToxicity.fit([(k % 2, f"{'vile scoundrel' if k % 2 else 'fine person'} number {k}".encode()) for k in range(200)])).collect()
+    assert len(got) == 6 and len({r.score for r in got if r.text == "a b"}) == 1 and all(0 <= r.score <= 1 for r in got)
+    labels = spark.createDataFrame([(2, 0, 1), (3, 0, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    assert {r.score for r in toxicity.score(df, toxicity.fit(df, labels)).collect()} == {0.0}
+
+
 def test_tiff(spark):
     rng = np.random.default_rng(3)
     x = rng.integers(0, 4, (100, 64)).astype(np.uint8)
