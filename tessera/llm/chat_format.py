@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import lean, small_batches
 
 TURN, SAYS, END = "<|turn|>", "<|says|>", "<|end|>\n"
 LEARNED = "assistant"
@@ -128,7 +128,7 @@ def format_chats(events: DataFrame) -> DataFrame:
         if done:
             yield flush()
 
-    return logs.mapInArrow(run, _OUT_SCHEMA)
+    return logs.mapInArrow(lean(run), _OUT_SCHEMA)
 
 
 def from_turns(turns: DataFrame) -> DataFrame:
@@ -154,4 +154,4 @@ def digests(formatted: DataFrame) -> DataFrame:
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types, strict=True)], names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
-    return formatted.mapInArrow(run, _DIGESTS)
+    return formatted.mapInArrow(lean(run), _DIGESTS)

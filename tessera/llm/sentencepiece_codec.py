@@ -19,15 +19,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, small_batches
+from .common import fresh, give_back, lean, small_batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-#: Longer words are searched one by one. Words kept by a worker, to encode each once.
-TOGETHER, KEPT = 48, 1_000_000
+#: Longer words are searched one by one. Bytes of the words and ids that a worker keeps during a task, to encode each once,
+#: with what Python itself needs for each.
+TOGETHER, KEPT, EACH = 48, 48 << 20, 220
 UNKNOWN_PENALTY = 10.0
 _UNITS = re.compile(r" *[^ ]+| +")
-_KNOWN: dict[bytes, dict[str, bytes]] = {}
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -215,18 +215,25 @@ class Vocabulary:
         return out
 
     def encoder(self):
-        """A function from texts to the int32 ids of each, as bytes; a worker remembers the words it has seen."""
-        known = _KNOWN.setdefault(hashlib.sha256(self.keys.tobytes() + self.ids.tobytes() + self.scores.tobytes()).digest(), {})
+        """A function from texts to the int32 ids of each, as bytes; it remembers the words it has seen, up to KEPT bytes."""
+        known: dict[str, bytes] = {}
+        held = 0
 
         def encode(texts: list[str]) -> list[bytes]:
-            units = [_UNITS.findall(" " + t if self.prefix and t else t) for t in texts]
-            new = set().union(*units).difference(known)
-            if len(known) + len(new) > KEPT and known:
-                known.clear()
-                new = set().union(*units)
-            got = self.encode_words([w.replace(" ", SPACE) for w in new])
-            known.update((w, got[w.replace(" ", SPACE)]) for w in new)
-            return [b"".join(map(known.__getitem__, u)) for u in units]
+            nonlocal held
+            out: list[bytes] = []
+            for at in range(0, len(texts), 64):
+                units = [_UNITS.findall(" " + t if self.prefix and t else t) for t in texts[at: at + 64]]
+                if held > KEPT:
+                    known.clear()
+                    held = 0
+                new = set().union(*units).difference(known)
+                got = self.encode_words([w.replace(" ", SPACE) for w in new])
+                for w in new:
+                    known[w] = ids = got[w.replace(" ", SPACE)]
+                    held += len(w) + len(ids) + EACH
+                out += [b"".join(map(known.__getitem__, u)) for u in units]
+            return out
 
         return encode
 
@@ -245,16 +252,21 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataF
     """The input's rows and columns plus `ids` (array of int) and `n_pieces`; clashing names get leading underscores.
 
     Null and empty texts have no ids. Characters without a piece become byte pieces. A literal U+2581 in a text decodes
-    as a space, as in the library."""
+    as a space, as in the library. Repeated rows get equal ids; a very long text is encoded whole, word by word, within one
+    task; an empty table gives no rows."""
     small_batches(docs.sparkSession)
 
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         run = vocabulary.encoder()
-        for batch in batches:
-            got = run(["" if x is None else x for x in batch.to_pylist()])
-            offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in got])]).astype(np.int32)
-            yield pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(got), np.int32)))
+        try:
+            for batch in batches:
+                got = run(["" if x is None else x for x in batch.to_pylist()])
+                offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in got])]).astype(np.int32)
+                yield pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(got), np.int32)))
+        finally:
+            run = None
+            give_back()
 
     name, count = fresh(docs.columns, "ids"), fresh(docs.columns, "n_pieces")
     out = docs.withColumn(name, ids(F.col(text)))
@@ -278,7 +290,8 @@ _DIGESTS = "doc_id long, n_pieces long, n_byte_pieces long, ids_sha256 string, d
 
 def digests(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
     """Per row: pieces, byte pieces, digests of the ids (little-endian int32) and of the decoded text, and whether the
-    decoded text is the text (with U+2581 read as a space)."""
+    decoded text is the text (with U+2581 read as a space). Null texts count as empty; repeated rows, rows without id and
+    very long texts give a row each like any other; an empty table gives none; other columns are ignored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_all = vocabulary.encoder()
@@ -293,4 +306,4 @@ def digests(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> Data
             types = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(list(c), t) for c, t in zip(cols, types, strict=True))], names=["doc_id", "n_pieces", "n_byte_pieces", "ids_sha256", "decoded_sha256", "round_trip"])
 
-    return _columns(docs, text).mapInArrow(run, _DIGESTS)
+    return _columns(docs, text).mapInArrow(lean(run), _DIGESTS)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, small_batches, utf8
+from .common import cut, lean, small_batches, utf8
 
 LENGTH, K = 200, 32
 #: Distinct windows of an anchor that are sorted in one task; the starts of an anchor with more are counted one by one.
@@ -239,7 +239,7 @@ def _texts(docs: DataFrame, text: str) -> DataFrame:
             kept = [k for k, n in zip(keys, new, strict=True) if n]
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in kept], pa.int64()), pa.array([k[1] for k in kept], pa.int64()), batch.column(0).filter(pa.array(new, pa.bool_()))], names=["k1", "k2", "t"])
 
-    return docs.select(utf8(text).alias("t")).where(F.length("t") >= LENGTH).mapInArrow(run, "k1 long, k2 long, t binary")
+    return docs.select(utf8(text).alias("t")).where(F.length("t") >= LENGTH).mapInArrow(lean(run), "k1 long, k2 long, t binary")
 
 
 def _keys(docs: DataFrame, text: str) -> DataFrame:
@@ -250,7 +250,7 @@ def _keys(docs: DataFrame, text: str) -> DataFrame:
             cols = [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array([len(x) for x in texts], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in texts], pa.string())]
             yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=["doc_id", "k1", "k2", "n_bytes", "sha"])
 
-    return docs.select("doc_id", utf8(text).alias("t")).mapInArrow(run, _KEYED + ", n_bytes long, sha string")
+    return docs.select("doc_id", utf8(text).alias("t")).mapInArrow(lean(run), _KEYED + ", n_bytes long, sha string")
 
 
 def _anchor_rows(docs: DataFrame, text: str) -> DataFrame:
@@ -270,7 +270,7 @@ def _anchor_rows(docs: DataFrame, text: str) -> DataFrame:
             q = place << 16 | (place - first) << 8 | (last - first)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.array(keys, np.int64)[which]), pa.array(q.astype(np.int64))], names=["h", "k1", "q"])
 
-    return docs.select(utf8(text).alias("t")).where(F.length("t") >= LENGTH).mapInArrow(run, "h long, k1 long, q long")
+    return docs.select(utf8(text).alias("t")).where(F.length("t") >= LENGTH).mapInArrow(lean(run), "h long, k1 long, q long")
 
 
 def _window_rows(held: DataFrame) -> DataFrame:
@@ -300,7 +300,7 @@ def _window_rows(held: DataFrame) -> DataFrame:
             types = (pa.int64(),) * 7 + (pa.bool_(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["h", "w", "k1", "k2", "q", "n", "d", "crowded", "bytes"])
 
-    return held.mapInArrow(run, "h long, w long, k1 long, k2 long, q long, n long, d long, crowded boolean, bytes binary")
+    return held.mapInArrow(lean(run), "h long, w long, k1 long, k2 long, q long, n long, d long, crowded boolean, bytes binary")
 
 
 def _decided(carriers: DataFrame) -> DataFrame:
@@ -328,7 +328,7 @@ def _decided(carriers: DataFrame) -> DataFrame:
                     held[h, w] = [n, d, window]
         yield flush()
 
-    return carriers.select("h", "w", "n", "d", "bytes").mapInArrow(run, "h long, w long, mask binary")
+    return carriers.select("h", "w", "n", "d", "bytes").mapInArrow(lean(run), "h long, w long, mask binary")
 
 
 def _counted(carriers: DataFrame) -> DataFrame:
@@ -341,7 +341,7 @@ def _counted(carriers: DataFrame) -> DataFrame:
                 m = len(keys)
                 yield pa.RecordBatch.from_arrays([pa.array([h] * m, pa.int64()), pa.array([w] * m, pa.int64()), pa.array(range(m), pa.int32()), pa.array([n] * m, pa.int64()), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64())], names=["h", "w", "i", "n", "a", "b"])
 
-    starts = carriers.groupBy("h", "w").agg(F.sum("n").alias("n"), F.first("bytes").alias("bytes")).select("h", "w", "n", "bytes").mapInArrow(run, "h long, w long, i int, n long, a long, b long")
+    starts = carriers.groupBy("h", "w").agg(F.sum("n").alias("n"), F.first("bytes").alias("bytes")).select("h", "w", "n", "bytes").mapInArrow(lean(run), "h long, w long, i int, n long, a long, b long")
     many = starts.groupBy("a", "b").agg(F.sum("n").alias("m")).where("m > 1")
     hit = starts.join(many, ["a", "b"]).groupBy("h", "w").agg(F.collect_set("i").alias("hits"), F.max("i").alias("top"))
     mask = F.array_join(F.transform(F.sequence(F.lit(0), F.col("top")), lambda i: F.when(F.array_contains("hits", i), "01").otherwise("00")), "")
@@ -370,7 +370,7 @@ def _removed(held: DataFrame) -> DataFrame:
             types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types, strict=True)], names=["k1", "k2", "n_removed", "n_spans", "kept_sha256"])
 
-    return held.mapInArrow(run, "k1 long, k2 long, n_removed long, n_spans long, kept_sha256 string")
+    return held.mapInArrow(lean(run), "k1 long, k2 long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def repeated_passages(docs: DataFrame, text: str = "text", sorted_at_once: int = SORTED) -> DataFrame:

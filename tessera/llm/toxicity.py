@@ -25,7 +25,7 @@ import zstandard as zs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, utf8
+from .common import give_back, small_batches, utf8
 
 #: Bytes of a window; windows end at white space where there is some.
 WINDOW = 40
@@ -236,8 +236,11 @@ def score(docs: DataFrame, model: CompressionToxicity, text: str = "text", names
     @F.arrow_udf("double")
     def scored(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         one = model.scorer()
-        for batch in texts:
-            yield pa.array([one(x) for x in batch.to_pylist()], pa.float64())
+        try:
+            for batch in texts:
+                yield pa.array([one(x) for x in batch.to_pylist()], pa.float64())
+        finally:
+            give_back()
 
     out = docs.withColumn(names[0], scored(utf8(text)))
     return out.withColumn(names[1], (F.col(names[0]) >= CUT_SCORE).cast("int"))

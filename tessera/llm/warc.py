@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, utf8
+from .common import lean, small_batches, utf8
 
 _DROPPED = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title)\b.*?(?:</\1\s*>|\Z)", re.I | re.S)
 _BREAKS = re.compile(r"</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|section|article|nav|header|footer|blockquote|pre|main|aside|figure|hr|dd|dt|dl|form|html|head|body)\b[^>]*>", re.I)
@@ -133,7 +133,7 @@ def derive(records: DataFrame) -> DataFrame:
             cols = list(zip(*rows, strict=True)) if rows else [[]] * len(_OUT)
             yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(cols, _OUT, strict=True)], schema=_OUT)
 
-    return records.select("page_id", "warc").mapInArrow(run, _DDL)
+    return records.select("page_id", "warc").mapInArrow(lean(run), _DDL)
 
 
 def page_responses(pages: DataFrame) -> DataFrame:
