@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, small_batches, utf8
+from .common import cut, fresh, lean, small_batches, utf8
 from .components import components
 
 WORDS = 5
@@ -136,9 +136,9 @@ def _signatures(docs: DataFrame, text: str, bands: int, rows: int) -> DataFrame:
                 keys.append(circulant.band_keys(s) if len(s) else np.zeros(0, np.int64))
             offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(low, pa.int64()), pa.array(high, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(flat))], names=["doc_id", "n_shingles", "d1", "d2", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(low, pa.int64()), pa.array(high, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(flat))], names=["doc_id", "key", "n_shingles", "d1", "d2", "bands"])
 
-    return docs.select("doc_id", utf8(text).alias("_t")).mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>")
+    return docs.select("doc_id", utf8(text).alias("t"), F.xxhash64("doc_id", text).alias("key")).mapInArrow(lean(run), "doc_id long, key long, n_shingles long, d1 long, d2 long, bands array<long>")
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, text: str, percent: int) -> DataFrame:
@@ -160,7 +160,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, text: str, percent: int) -> Da
             kept = batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
             yield kept
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(lean(run), "a long, b long")
 
 
 def _groups(keyed: DataFrame) -> DataFrame:
@@ -243,15 +243,11 @@ def _cell_pass(cells: DataFrame, docs: DataFrame, text: str, percent: int) -> Da
         links = cell_links(held, percent)
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(lean(run), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row.
-
-    Null and empty texts, and texts without words, have an empty set and are linked with nothing; fewer than WORDS words
-    count as one shingle. Rows that repeat an id are linked through it; a row without id keeps a null component unless
-    its set equals that of a row with one. An empty table gives no rows; other columns are ignored."""
+def _classified(docs: DataFrame, text: str, percent: int, bands: int, rows: int) -> DataFrame:
+    """doc_id, key (of id and text), d1, d2 (of the set), n_shingles, component_id for every row."""
     small_batches(docs.sparkSession)
     seen = cut(_signatures(docs, text, bands, rows))
     full = seen.where(F.col("n_shingles") > 0)
@@ -268,12 +264,31 @@ def near_duplicates(docs: DataFrame, text: str = "text", percent: int = 80, band
     links = links.union(_cell_pass(_cells(members), docs, text, percent))
     roots = components(links)
     named = classes.join(roots.toDF("rep", "root"), "rep", "left").select("d1", "d2", F.coalesce("root", "rep").alias("component_id"))
-    out = full.join(named, ["d1", "d2"]).select("doc_id", "n_shingles", "component_id")
-    out = out.union(seen.where(F.col("n_shingles") == 0).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    out = full.join(named, ["d1", "d2"]).select("doc_id", "key", "d1", "d2", "n_shingles", "component_id")
+    return out.union(seen.where(F.col("n_shingles") == 0).select("doc_id", "key", "d1", "d2", "n_shingles", F.col("doc_id").alias("component_id")))
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row.
+
+    Null and empty texts, and texts without words, have an empty set and are linked with nothing; fewer than WORDS words
+    count as one shingle. Rows that repeat an id are linked through it; a row without id keeps a null component unless
+    its set equals that of a row with one. An empty table gives no rows; other columns are ignored."""
+    out = _classified(docs, text, percent, bands, rows).select("doc_id", "n_shingles", "component_id")
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep_one(docs: DataFrame, text: str = "text", percent: int = 80) -> DataFrame:
-    """The input's rows without those of a near-duplicate group beside its smallest id; columns as they are."""
-    lost = near_duplicates(docs, text, percent).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(lost, "doc_id", "left_anti").select(*docs.columns)
+    """The input's rows without those of a near-duplicate group beside one of its smallest id; columns as they are.
+
+    Rows without words are near nothing and all stay. Of rows that share the smallest id of a group, one stays for each
+    set of shingles; so does one of the rows without id where no row with an id has their set. Which of several rows of
+    one id and text that is, is not defined where they differ in other columns. An empty table gives no rows."""
+    found = _classified(docs, text, percent, BANDS, ROWS)
+    own = found.where((F.col("n_shingles") > 0) & F.col("doc_id").eqNullSafe(F.col("component_id")))
+    own = own.groupBy("component_id", "d1", "d2", "key").agg(F.count("*").alias("m")).groupBy("component_id", "d1", "d2").agg(F.min(F.struct("key", "m")).alias("one"))
+    at, who, copies, same = (fresh(docs.columns, x) for x in ("_at", "_who", "_copies", "_same"))
+    stay = own.select(F.col("one.key").alias(at), F.col("component_id").alias(who), F.col("one.m").alias(copies))
+    stay = stay.union(found.where(F.col("n_shingles") == 0).select("key", "doc_id", F.lit(1).cast("long")).distinct())
+    rows = docs.withColumn(same, F.xxhash64("doc_id", text)).join(stay, (F.col(same) == F.col(at)) & F.col("doc_id").eqNullSafe(F.col(who)))
+    return rows.where(F.col(copies) == 1).unionByName(rows.where(F.col(copies) > 1).dropDuplicates([at, who])).select(*docs.columns)

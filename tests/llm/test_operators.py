@@ -138,6 +138,18 @@ def test_minhash_against_brute_force(spark, docs, monkeypatch, block):
     assert minhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_keep_one_of_repeated_and_nameless_rows(spark):
+    rows = [(1, LONG), (1, LONG), (None, LONG), (2, LONG + " more"), (1, "another text of the same number in the table"), (None, "only rows without a number have these words"), (None, "only rows without a number have these words"), (3, ""), (3, ""), (4, None), (4, None), (None, None), (5, "tiny"), (6, "TINY")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for c in ("_at", "_who", "_copies", "_same", "key"):
+        df = df.withColumn(c, F.lit(c))
+    got = minhash.keep_one(df)
+    assert got.columns == df.columns
+    want = [(1, LONG), (1, rows[4][1]), (None, rows[5][1]), (3, ""), (3, ""), (4, None), (4, None), (None, None), (5, "tiny")]
+    order = lambda rs: sorted(rs, key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+    assert order((r.doc_id, r.text) for r in got.collect()) == order(want)
+
+
 def test_mixing(spark, docs):
     rows = [(i, "w " * (1 + i % 9), "abc"[i % 3] if i % 7 else None) for i in range(3000)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("size", F.lit("clash"))
@@ -201,6 +213,21 @@ def test_short_lines(spark):
     assert got == {1: rows[0][1], 2: "other\n", 3: "two words"}
 
 
+def test_long_lines_and_clashing_names(spark):
+    """A line of 70,000 characters and one of 12,000 words with a changed word each; columns named as internal ones."""
+    rng = random.Random(10)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(12_000)]
+    chars = "".join(rng.choice("abcdefgh") for _ in range(70_000))
+    edited = [w if k % 400 else "edited" for k, w in enumerate(words)]
+    rows = [(1, " ".join(words) + "\n" + chars), (2, " ".join(edited) + "\n" + chars[:35_000] + "z" + chars[35_001:]), (3, None), (3, None), (4, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for c in ("_row", "_r", "_d", "_drop", "Lines_Removed"):
+        df = df.withColumn(c, F.lit(c))
+    got = line_dedup.dedup_lines(df, least_words=1).collect()
+    assert sorted((r.doc_id, r.lines_removed, len(r.text or "")) for r in got) == [(1, 0, len(rows[0][1])), (2, 2, 0), (3, 0, 0), (3, 0, 0), (4, 0, 0)]
+    assert all(r["_row"] == "_row" and r["_drop"] == "_drop" and r["_r"] == "_r" and r["_d"] == "_d" for r in got)
+
+
 def test_warc(spark):
     pages = spark.createDataFrame([(1, "http://a/", '<html lang="en"><title>T &amp; u</title><script>x</script><p>one<p>two <a href="/z">z</a>'), (2, None, None)], "page_id long, url string, html string")
     got = {(r.page_id, r.record_type): r for r in warc.derive(warc.page_responses(pages).withColumn("error", F.lit(1))).collect()}
