@@ -75,23 +75,31 @@ def top_tokens(records: DataFrame, n: int = 15) -> DataFrame:
 
 
 def validate(results: DataFrame, candidates: DataFrame, required: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """rule, n: findings over (s1, ids) outputs. Nothing is found in a valid pair of files but a row of zeros each."""
-    ids = results.select("s1", F.explode("ids").alias("id"))
-    count = lambda df, rule: df.agg(F.count("*").alias("n")).select(F.lit(rule).alias("rule"), "n")
-    found = [
-        count(results.groupBy("s1").count().where("count > 1"), "duplicate_rows"),
-        count(results.where(F.size("ids") != F.size(F.array_distinct("ids"))), "duplicate_ids"),
-        count(ids.where(F.col("id").startswith("S1-")), "self_matches"),
-        count(ids.where(~F.col("id").rlike("^S[123]-")), "bad_prefix"),
-        count(required.select("s1").distinct().join(results, "s1", "left_anti"), "missing_rows"),
-        count(results.select("s1").distinct().join(required, "s1", "left_anti"), "extra_rows"),
-        count(results.join(candidates.select("s1", F.col("ids").alias("c")), "s1", "left").where(F.size(F.array_except("ids", F.coalesce("c", F.array().cast("array<string>")))) > 0), "not_candidates"),
-    ]
+    """rule, n: findings over (s1, ids) outputs. Nothing is found in a valid pair of files but a row of zeros each.
+
+    One grouped pass over the rows beside the required ids, and one over the distinct ids that no known target has."""
+    empty = F.array().cast("array<string>")
+    rows = results.join(candidates.select("s1", F.col("ids").alias("_c")), "s1", "left")
+    some = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+    per = rows.groupBy("s1").agg(
+        F.count("*").alias("rows"),
+        F.sum((F.size("ids") != F.size(F.array_distinct("ids"))).cast("int")).alias("duplicate_ids"),
+        F.sum(F.size(F.filter("ids", lambda x: x.startswith("S1-")))).alias("self_matches"),
+        F.sum(F.size(F.filter("ids", lambda x: ~x.rlike("^S[123]-")))).alias("bad_prefix"),
+        F.sum((F.size(F.array_except("ids", F.coalesce("_c", empty))) > 0).cast("int")).alias("not_candidates"),
+    )
+    both = per.withColumn("_in", F.lit(1)).join(required.select("s1").distinct().withColumn("_must", F.lit(1)), "s1", "full")
+    found = both.agg(
+        some(F.count_if(F.col("rows") > 1)).alias("duplicate_rows"),
+        *(some(F.sum(c)).alias(c) for c in ("duplicate_ids", "self_matches", "bad_prefix")),
+        some(F.count_if(F.col("_in").isNull())).alias("missing_rows"),
+        some(F.count_if(F.col("_must").isNull())).alias("extra_rows"),
+        some(F.sum("not_candidates")).alias("not_candidates"),
+    )
+    out = found.unpivot([], found.columns, "rule", "n")
     if known is not None:
-        found.append(count(ids.join(known.select(F.col("entity_id").alias("id")), "id", "left_anti"), "unknown_ids"))
-    out = found[0]
-    for x in found[1:]:
-        out = out.unionByName(x)
+        counted = results.select(F.explode("ids").alias("id")).groupBy("id").agg(F.count("*").alias("c"))
+        out = out.unionByName(counted.join(known.select(F.col("entity_id").alias("id")), "id", "left_anti").agg(some(F.sum("c")).alias("n")).select(F.lit("unknown_ids").alias("rule"), "n"))
     return out
 
 

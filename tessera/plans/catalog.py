@@ -72,7 +72,7 @@ pr AS (SELECT *, CASE WHEN n_predicted = 0 THEN 1.0 ELSE n_hit::DOUBLE / n_predi
 ef AS (SELECT *, CASE WHEN precision <= 0 OR recall <= 0 THEN 0.0 ELSE 1.25 * precision * recall / (0.25 * precision + recall) END AS f FROM pr),
 lists AS (SELECT spine.s1, spine.land, coalesce(list_sort(list(DISTINCT t) FILTER (t IS NOT NULL)), []) AS ids FROM spine LEFT JOIN won USING (s1) GROUP BY ALL),
 both_ AS (SELECT e.*, a.clean AS a_clean, b.clean AS b_clean, a.core AS a_core, b.core AS b_core, a.token_sort AS a_sort, b.token_sort AS b_sort, a.address AS a_address, b.address AS b_address, a.numbers AS a_numbers, b.numbers AS b_numbers,
-  a.house AS a_house, b.house AS b_house, a.postal AS a_postal, b.postal AS b_postal, a.land AS a_land, b.land AS b_land, a.business_name AS a_raw, b.business_name AS b_raw, a.business_address AS a_rawad, b.business_address AS b_rawad,
+  a.house AS a_house, b.house AS b_house, a.postal AS a_postal, b.postal AS b_postal, a.land AS a_land, b.land AS b_land, a.business_name AS a_raw, b.business_name AS b_raw, a.business_address AS a_rawad, b.business_address AS b_rawad, a.city AS a_city, b.city AS b_city,
   CASE WHEN a.core <> '' THEN a.core ELSE a.clean END AS na, CASE WHEN b.core <> '' THEN b.core ELSE b.clean END AS nb FROM edges e JOIN norm a ON a.entity_id = e.s1 JOIN norm b ON b.entity_id = e.t)
 """
 
@@ -143,7 +143,7 @@ def address_parts(w: World) -> DataFrame:
 
 @_query(f"""SELECT flag, count(*) AS n FROM (SELECT unnest(list_filter([CASE WHEN clean = '' THEN 'blank_name' END, CASE WHEN clean IN {tuple(NULL_WORDS)} THEN 'null_name' END,
   CASE WHEN len(string_split(trim(regexp_extract(clean, '{_SUFFIX}')), ' ')) > len(list_distinct(string_split(trim(regexp_extract(clean, '{_SUFFIX}')), ' '))) THEN 'multiple_legal_suffixes' END,
-  CASE WHEN raw = '' THEN 'blank_address' END, CASE WHEN raw <> '' AND NOT regexp_matches(raw, '[a-z]') THEN 'address_without_letters' END, CASE WHEN raw <> '' AND NOT regexp_matches(raw, '[0-9]') THEN 'address_without_numbers' END,
+  CASE WHEN raw = '' THEN 'blank_address' END, CASE WHEN raw IN {tuple(NULL_WORDS)} THEN 'null_address' END, CASE WHEN raw <> '' AND NOT regexp_matches(raw, '[a-z]') THEN 'address_without_letters' END, CASE WHEN raw <> '' AND NOT regexp_matches(raw, '[0-9]') THEN 'address_without_numbers' END,
   CASE WHEN land = '' THEN 'blank_country' END], lambda x: x IS NOT NULL)) AS flag FROM norm) GROUP BY 1""")
 def anomaly_flags(w: World) -> DataFrame:
     return audit.flag_counts(w.norm)
@@ -209,6 +209,23 @@ def pair_features_levenshtein(w: World) -> DataFrame:
     return w.pairs().select("s1", "t", *(F.round(n[x], 6).alias(x) for x in ("name_levenshtein", "address_levenshtein")))
 
 
+_TA, _TB = (f"list_distinct({_TOKENS.format(c)})" for c in ("na", "nb"))
+_JN, _JA = _JACCARD.format(_TOKENS.format("na"), _TOKENS.format("nb")), _JACCARD.format(_TOKENS.format("a_address"), _TOKENS.format("b_address"))
+
+
+@_query(f""", f AS (SELECT *, {_JN} AS jn, {_JA} AS ja, {_TA} AS ta, {_TB} AS tb, a_core = b_core AND a_core <> '' AS same_core, a_address = b_address AND a_address <> '' AS same_address, a_address <> '' AND b_address <> '' AS both_addresses FROM both_)
+SELECT s1, t, len(list_intersect(ta, tb))::INT AS shared_rare_token_count, round(len(list_intersect(ta, tb)) / greatest(least(len(ta), len(tb)), 1)::DOUBLE, 6) AS rare_name_token_score, coalesce(a_city = b_city, false)::INT AS address_city_exact,
+  (both_addresses AND NOT same_address AND ja < 0.25)::INT AS address_conflict, coalesce(a_city <> b_city AND ja < 0.75, false)::INT AS city_conflict,
+  (same_address AND na <> '' AND nb <> '' AND jn < 0.2)::INT AS name_address_name_conflict, (same_core AND both_addresses AND ja < 0.5)::INT AS name_address_disagreement,
+  round(CASE WHEN coalesce(a_postal = b_postal, false) THEN jn ELSE 0 END, 6)::DOUBLE AS cross_postal_name_similarity,
+  (same_core::INT + same_address::INT + coalesce(a_postal = b_postal, false)::INT + coalesce(a_house = b_house, false)::INT + (a_land = b_land AND a_land <> '')::INT)::INT AS field_agreement_count,
+  (na = '' OR nb = '')::INT AS missing_name, (a_address = '' OR b_address = '')::INT AS missing_address, round(score, 6)::DOUBLE AS retrieval_score, rank::INT AS retrieval_rank, method_count::INT AS retrieval_method_count FROM f""")
+def pair_features_conflicts(w: World) -> DataFrame:
+    n = features.native_features()
+    exact = ("shared_rare_token_count", "address_city_exact", "address_conflict", "city_conflict", "name_address_name_conflict", "name_address_disagreement", "field_agreement_count", "missing_name", "missing_address", "retrieval_rank", "retrieval_method_count")
+    return w.pairs().select("s1", "t", *(n[x].cast("int").alias(x) for x in exact), *(F.round(n[x], 6).alias(x) for x in ("rare_name_token_score", "cross_postal_name_similarity", "retrieval_score")))
+
+
 @_query()
 def pair_features_all(w: World) -> DataFrame:
     return features.pair_features(w.edges(), w.sources, w.targets)
@@ -329,9 +346,9 @@ def score_distribution(w: World) -> DataFrame:
     return features.label_pairs(w.edges(), w.truth).groupBy("label").agg(F.count("*").alias("n"), F.round(F.avg("p"), 6).alias("mean"), F.count_if(F.col("p") >= 0.9).alias("high"))
 
 
-@_query("SELECT l.s1, l.t, count(b.key) AS shared FROM (SELECT truth.* FROM truth ANTI JOIN ranked USING (s1, t)) l LEFT JOIN sk a ON a.entity_id = l.s1 LEFT JOIN tk b ON b.entity_id = l.t AND b.method = a.method AND b.key = a.key GROUP BY 1, 2")
+@_query("SELECT l.s1, l.t, count(b.key) AS shared FROM (SELECT truth.* FROM truth ANTI JOIN (SELECT s1, t FROM ranked WHERE rank = 1) r USING (s1, t)) l LEFT JOIN sk a ON a.entity_id = l.s1 LEFT JOIN tk b ON b.entity_id = l.t AND b.method = a.method AND b.key = a.key GROUP BY 1, 2")
 def miss_attribution(w: World) -> DataFrame:
-    return audit.misses(w.truth, w.ranked(), w.source_keys, w.target_keys)
+    return audit.misses(w.truth, w.ranked().where("rank = 1"), w.source_keys, w.target_keys)
 
 
 @_query("SELECT e.s1, e.t, e.p FROM edges e ANTI JOIN truth USING (s1, t) ORDER BY p DESC, s1, t LIMIT 100")
@@ -354,10 +371,23 @@ def conflict_multiplicity(w: World) -> DataFrame:
     return audit.histogram(decide.above(w.edges(), 0.4).groupBy("t").agg(F.count("*").alias("c")), F.col("c"))
 
 
-@_query("""SELECT unnest(['duplicate_rows', 'duplicate_ids', 'self_matches', 'bad_prefix', 'missing_rows', 'extra_rows', 'not_candidates', 'unknown_ids']) AS rule,
-  unnest([0, 0, 0, 0, 0, 0, 0, 0]) AS n""")
+#: A result with every fault, by the number in its id: repeated, missing and extra rows, repeated, own, foreign and odd ids.
+_FAULTY = """SELECT s1, CASE k % 11 WHEN 1 THEN {add}({add}(ids, 'S2-x'), 'S2-x') WHEN 2 THEN {add}(ids, s1) WHEN 3 THEN {add}(ids, 'T-9') WHEN 4 THEN {add}(ids, 'S3-0') ELSE ids END AS ids
+  FROM (SELECT s1, ids, CAST(substr(s1, 4) AS BIGINT) AS k FROM {lists}) WHERE k % 11 <> 5
+  UNION ALL SELECT s1, ids FROM (SELECT s1, ids, CAST(substr(s1, 4) AS BIGINT) AS k FROM {lists}) WHERE k % 11 = 6
+  UNION ALL SELECT concat('S1-extra', substr(s1, 4)), ids FROM {lists} WHERE CAST(substr(s1, 4) AS BIGINT) % 11 = 7"""
+
+
+@_query(f""", bad AS ({_FAULTY.format(add="list_append", lists="lists")}), cand AS (SELECT s1, list(t) AS c FROM edges GROUP BY 1), ids AS (SELECT unnest(ids) AS id FROM bad)
+SELECT 'duplicate_rows' AS rule, count(*) AS n FROM (SELECT s1 FROM bad GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'duplicate_ids', count(*) FROM bad WHERE len(ids) <> len(list_distinct(ids))
+UNION ALL SELECT 'self_matches', count(*) FROM ids WHERE id LIKE 'S1-%' UNION ALL SELECT 'bad_prefix', count(*) FROM ids WHERE NOT regexp_matches(id, '^S[123]-')
+UNION ALL SELECT 'missing_rows', count(*) FROM spine ANTI JOIN bad USING (s1) UNION ALL SELECT 'extra_rows', count(DISTINCT s1) FROM bad ANTI JOIN spine USING (s1)
+UNION ALL SELECT 'not_candidates', count(*) FROM bad LEFT JOIN cand USING (s1) WHERE len(list_filter(ids, lambda x: NOT list_contains(coalesce(c, []), x))) > 0
+UNION ALL SELECT 'unknown_ids', count(*) FROM ids WHERE id NOT IN (SELECT entity_id FROM rec WHERE entity_id NOT LIKE 'S1-%')""")
 def validator_findings(w: World) -> DataFrame:
-    return audit.validate(w.lists(), tsv.id_lists(w.edges(), w.spine, by_rank=True), w.spine, w.targets)
+    bad = w.records.sparkSession.sql(_FAULTY.format(add="array_append", lists="{lists}"), lists=w.lists())
+    return audit.validate(bad, tsv.id_lists(w.edges(), w.spine, by_rank=True), w.spine, w.targets)
 
 
 @_query("SELECT s1, land, CASE WHEN land = 'land 1' THEN array_to_string(ids, ',') WHEN land = 'land 2' THEN coalesce((SELECT string_agg(DISTINCT g.t, ',' ORDER BY g.t) FROM good g WHERE g.s1 = lists.s1), '') ELSE '' END AS ids FROM lists")
