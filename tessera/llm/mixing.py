@@ -57,7 +57,8 @@ def draw(docs: DataFrame, text: str = "text", seed: str = "mix", buckets: int =
 
     Null and empty texts have size 0 and are drawn like others; a null source is a source of its own; rows that repeat
     an id (or have none) are told apart by nothing and share their draws in any order. An empty table gives no rows."""
-    keep = {c: fresh(["size", "source_size", "target", "copies", "source", "doc_id", "text"], c) if c.lower() in ("size", "source_size", "target", "copies") else c for c in docs.columns}
+    own = ["size", "source_size", "target", "copies", "_s", "_h", "_b", "_first", "_second", "_third"]
+    keep = {c: fresh([*own, *(x for x in docs.columns if x != c)], c) if c.lower() in own else c for c in docs.columns}
     rows = docs.select(*(F.col(c).alias(n) for c, n in keep.items()))
     name = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("-"))
     rows = rows.select("*", words(text).alias("size"), name.alias("_s"), _hash(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("_h"))

@@ -246,7 +246,7 @@ def pages(media: DataFrame, column: str) -> DataFrame:
                 try:
                     for k, (tags, x) in enumerate(read_pages(data) if data is not None else ()):
                         found.append({"page_no": k, "width": x.shape[1], "height": x.shape[0], "samples": x.shape[2], "compression": tags.get(SCHEME, (1,))[0], "pixels": x.tobytes(), "error": None})
-                except (ValueError, KeyError, struct.error, zlib.error, MemoryError) as e:
+                except (ValueError, KeyError, IndexError, TypeError, ArithmeticError, struct.error, zlib.error, MemoryError) as e:
                     found.append({"page_no": len(found), "error": f"{type(e).__name__}: {e}"[:200]})
                 rows.append(found)
             yield pa.array(rows, pa.list_(pa.struct(list(_PAGE))))
@@ -274,7 +274,10 @@ def round_trip(text: bytes) -> tuple:
 
 
 def text_round_trips(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id and the columns of round_trip for each row's whole text; null counts as empty."""
+    """doc_id and the columns of round_trip for each row's whole text; null counts as empty.
+
+    Repeated rows and rows without id give a row each, equal texts equal values; a very long text becomes several pages, held
+    by one task; an empty table gives no rows; other columns are ignored."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

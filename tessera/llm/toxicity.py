@@ -5,8 +5,8 @@ dictionary saves are its evidence. Both dictionaries end in the same ordinary pa
 ordinary passages; the toxic one goes on, farther back, with the parts of toxic passages that set the class apart: all
 runs of byte n-grams that significantly more toxic than ordinary rows hold, whatever the language, stems of words as well
 as phrases, with no list of words and no cut relative to the most frequent one. So a window costs the same under both
-unless it shares such a part. (Two dictionaries that the trainer picks from whole passages of either class find 0.1 to 0.35
-of the toxic rows at a tenth of false positives: what sets the classes apart is a few words in a hundred.)
+unless it shares such a part. (Two dictionaries that the trainer picks from whole passages of either class find a third of the
+toxic rows at most, at a tenth of false positives: what sets the classes apart is a few words in a hundred.)
 
 How many windows save how many bytes, out of how many, is weighed by a logistic calibration. It is fitted, like the
 threshold, on labelled rows that the dictionary used for them has not seen: two dictionaries of half the rows each.

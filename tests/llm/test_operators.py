@@ -110,6 +110,33 @@ def test_tiff(spark):
     assert [(r["page_no"], r["_page_no"], r.height) for r in got if r["page_no"] == 1] == [(1, 0, 100), (1, 1, 7)] and [bool(r.error) for r in got if r["page_no"] == 2] == [True]
 
 
+def test_broken_tiffs_give_error_rows(spark):
+    import struct
+
+    def file(*fields):
+        raw = b"".join(struct.pack("<HHI", tag, kind, n) + value.ljust(4, b"\0") for tag, kind, n, value in fields)
+        return bytearray(b"II*\0" + struct.pack("<I", 8) + struct.pack("<H", len(fields)) + raw + b"\0" * 4 + b"abcd")
+
+    long = lambda v: struct.pack("<I", v)
+    strips = [(tiff.HEIGHT, 4, 1, long(1)), (tiff.BITS, 4, 1, long(8)), (tiff.STRIPS, 4, 1, long(8)), (tiff.STRIP_BYTES, 4, 1, long(4))]
+    tiles = [(tiff.WIDTH, 4, 1, long(4)), (tiff.HEIGHT, 4, 1, long(1)), (tiff.BITS, 4, 1, long(8)), (tiff.TILE_WIDTH, 4, 1, long(0)), (tiff.TILE_HEIGHT, 4, 1, long(0)), (tiff.TILES, 4, 1, long(8)), (tiff.TILE_BYTES, 4, 1, long(4))]
+    bad = [file(*tiles), file((tiff.WIDTH, 4, 0, b""), *strips), file((tiff.WIDTH, 2, 2, b"x"), *strips), bytearray(b"II"), bytearray()]
+    got = tiff.pages(spark.createDataFrame(list(enumerate(bad)), "k int, media binary"), "media").collect()
+    assert sorted(r.k for r in got) == list(range(len(bad))) and all(r.error and r.pixels is None for r in got)
+
+
+def test_tiff_query_columns(spark, docs):
+    import zlib
+
+    got = Counter((r.doc_id, r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) for r in tiff.text_round_trips(docs.withColumn("feature", F.lit(1))).collect())
+    want = Counter()
+    for r in docs.collect():
+        raw = (r.text or "").encode()
+        padded = raw + b"\0" * (-len(raw) % 64 or (0 if raw else 64))
+        want[r.doc_id, len(raw), len(padded), hashlib.sha256(padded).hexdigest(), zlib.crc32(padded[-64:])] += 1
+    assert got == want and tiff.text_round_trips(docs.limit(0)).count() == 0
+
+
 def _sets(rows):
     out = {}
     for i, t in rows:
@@ -155,6 +182,8 @@ def test_mixing(spark, docs):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("size", F.lit("clash"))
     got = mixing.draw(df, buckets=8).groupBy("source").agg(F.first("source_size").alias("s"), F.first("target").alias("t"), F.sum(F.col("copies") * F.col("size")).alias("taken"), F.max("copies").alias("m")).collect()
     assert abs(sum(r.t for r in got) - sum(r.s for r in got)) < 1e-6 and all(abs(r.taken - r.t) <= 20 and r.t <= 3 * r.s and r.m <= 3 for r in got)
+    clash = df.withColumn("_s", F.lit("x")).withColumn("_h", F.lit("x")).withColumn("_first", F.lit("x")).withColumn("_third", F.lit("x"))
+    assert sorted(r.copies for r in mixing.draw(clash).collect()) == sorted(r.copies for r in mixing.draw(df).collect()) and mixing.mix(clash).columns == clash.columns
     assert mixing.mix(docs).columns == docs.columns and mixing.draw(docs).count() == docs.count() and mixing.mix(docs.limit(0)).count() == 0
 
 
