@@ -25,7 +25,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Longer words are searched one by one. Bytes of the words and ids that a worker keeps during a task, to encode each once,
 #: with what Python itself needs for each.
-TOGETHER, KEPT, EACH = 48, 48 << 20, 220
+TOGETHER, KEPT, EACH = 48, 192 << 20, 220
 UNKNOWN_PENALTY = 10.0
 _UNITS = re.compile(r" *[^ ]+| +")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -221,19 +221,16 @@ class Vocabulary:
 
         def encode(texts: list[str]) -> list[bytes]:
             nonlocal held
-            out: list[bytes] = []
-            for at in range(0, len(texts), 64):
-                units = [_UNITS.findall(" " + t if self.prefix and t else t) for t in texts[at: at + 64]]
-                if held > KEPT:
-                    known.clear()
-                    held = 0
-                new = set().union(*units).difference(known)
-                got = self.encode_words([w.replace(" ", SPACE) for w in new])
-                for w in new:
-                    known[w] = ids = got[w.replace(" ", SPACE)]
-                    held += len(w) + len(ids) + EACH
-                out += [b"".join(map(known.__getitem__, u)) for u in units]
-            return out
+            units = [_UNITS.findall(" " + t if self.prefix and t else t) for t in texts]
+            if held > KEPT:
+                known.clear()
+                held = 0
+            new = set().union(*units).difference(known)
+            got = self.encode_words([w.replace(" ", SPACE) for w in new])
+            for w in new:
+                known[w] = ids = got[w.replace(" ", SPACE)]
+                held += len(w) + len(ids) + EACH
+            return [b"".join(map(known.__getitem__, u)) for u in units]
 
         return encode
 
