@@ -80,11 +80,13 @@ def rerank_bonus(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("bonus", parts[0] + parts[1] + parts[2] + parts[3])
 
 
-def candidates(sources: DataFrame, targets: DataFrame, cap: int = DEFAULTS.candidate_cap, limit: int = DEFAULTS.bucket_limit, fallback: int = DEFAULTS.country_fallback, stage1: int | None = DEFAULTS.stage1, by_country: bool = False) -> DataFrame:
-    """s1, t, score, method_count, mask, rank: the candidates of normalised source records among normalised targets."""
+def candidates(sources: DataFrame, targets: DataFrame, cap: int = DEFAULTS.candidate_cap, limit: int = DEFAULTS.bucket_limit, fallback: int = DEFAULTS.country_fallback, stage1: int | None = DEFAULTS.stage1, by_country: bool = False, keys: DataFrame | None = None) -> DataFrame:
+    """s1, t, score, method_count, mask, rank: the candidates of normalised source records among normalised targets.
+
+    keys: the targets' keys where they are at hand, already within the limit."""
     if stage1 is not None and stage1 < 1:
         raise ValueError("stage1 must be 1 or more")
-    keys = prune(blocking_keys(targets), limit, by_country)
+    keys = prune(blocking_keys(targets), limit, by_country) if keys is None else keys
     scored = score_pairs(blocking_keys(sources), keys, by_country)
     best = quota_top_k(scored, max(cap, stage1 or 0) if cap > 0 else 0, fallback)
     if stage1 is not None and stage1 > cap > 0:

@@ -1,16 +1,17 @@
 """The 34 pair features, the rule-based score, training and model bundles."""
 from __future__ import annotations
 
-import json
-from pathlib import Path
+import hashlib
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.config import DEFAULTS, HEURISTIC, INTERCEPT
 from tessera.functions.similarity import edit_similarity, jaccard, python_similarities, token_jaccard
 from tessera.functions.text import tokens
+from tessera.session import read_json, write_json
 
+#: The features in their order.
 NAMES = (
     "name_exact", "name_core_exact", "name_token_sort_exact", "name_token_jaccard", "name_levenshtein", "name_sequence_ratio", "name_char_ngram_cosine", "shared_rare_token_count", "rare_name_token_score",
     "address_exact", "address_postal_exact", "address_house_exact", "address_city_exact", "address_token_jaccard", "address_levenshtein", "address_sequence_ratio", "address_char_ngram_cosine", "numeric_overlap",
@@ -106,10 +107,18 @@ def label_pairs(features: DataFrame, truth: DataFrame) -> DataFrame:
 
 
 def cap_labels(examples: DataFrame, most: int = DEFAULTS.max_pairs, seed: int = DEFAULTS.seed) -> DataFrame:
-    """At most half of `most` of either label, in the order of a hash, so that any partitioning keeps the same rows."""
-    order = Window.partitionBy("label").orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), "s1", "t").cast("binary")), "s1", "t")
+    """At most half of `most` of either label, in the order of a hash, so that any partitioning keeps the same rows.
+
+    Rows are counted by label and first hash digits; what lies beyond the digits that reach a label's limit goes before
+    anything is sorted, so that no task holds more than the limit and the rows of one digit group."""
+    rows = examples.withColumn("_h", F.md5(F.concat_ws(":", F.lit(str(seed)), "s1", "t").cast("binary")))
     limit = F.when(F.col("label") == 1, most // 2).otherwise(most - most // 2)
-    return examples.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= limit).drop("_r")
+    counts = rows.groupBy("label", F.substring("_h", 1, 4).alias("_d")).agg(F.count("*").alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy("label").orderBy("_d").rowsBetween(Window.unboundedPreceding, 0))
+    last = counts.withColumn("_upto", upto).where(F.col("_upto") >= limit).groupBy("label").agg(F.min("_d").alias("_last"))
+    near = rows.join(last, "label", "left").where(F.col("_last").isNull() | (F.substring("_h", 1, 4) <= F.col("_last")))
+    order = Window.partitionBy("label").orderBy("_h", "s1", "t")
+    return near.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= limit).select(*examples.columns)
 
 
 class ModelBundle:
@@ -140,15 +149,16 @@ class ModelBundle:
         out = self.model.transform(VectorAssembler(inputCols=list(self.features), outputCol="_x").transform(features))
         return out.withColumn("p", vector_to_array("probability")[1]).drop("_x", "rawPrediction", "probability", "prediction")
 
-    def save(self, path: str) -> None:
+    def save(self, path: str, spark: SparkSession | None = None) -> None:
         if self.model is not None:
             self.model.write().overwrite().save(f"{path}/model")
-        Path(path).mkdir(parents=True, exist_ok=True)
-        (Path(path) / "bundle.json").write_text(json.dumps({"kind": self.kind, "threshold": self.threshold, "constant": self.constant, "features": self.features}, sort_keys=True))
+        write_json(spark or SparkSession.getActiveSession(), f"{path}/bundle.json", {"kind": self.kind, "threshold": self.threshold, "constant": self.constant, "features": self.features})
 
     @classmethod
-    def load(cls, path: str) -> ModelBundle:
-        raw = json.loads((Path(path) / "bundle.json").read_text())
+    def load(cls, path: str, spark: SparkSession | None = None) -> ModelBundle:
+        raw = read_json(spark or SparkSession.getActiveSession(), f"{path}/bundle.json")
+        if raw is None:
+            raise FileNotFoundError(f"{path}/bundle.json")
         if tuple(raw["features"]) != NAMES:
             raise ValueError("the bundle has other features")
         model = None
@@ -157,3 +167,10 @@ class ModelBundle:
 
             model = GBTClassificationModel.load(f"{path}/model")
         return cls(raw["kind"], raw["threshold"], raw["constant"], model)
+
+
+def bundle_sha256(spark: SparkSession, path: str) -> str:
+    """A digest of all files of a saved bundle, by name and bytes."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    rows = files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("sha")).collect()
+    return hashlib.sha256("\n".join(sorted(f"{r.name} {r.sha}" for r in rows)).encode()).hexdigest()
