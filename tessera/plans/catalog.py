@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.config import METHODS, NO_CITY, NULL_WORDS, STREET_TERMS, STREETS, STRONG, SUFFIXES
+from tessera.config import DEFAULTS, METHODS, NO_CITY, NULL_WORDS, STREET_TERMS, STREETS, STRONG, SUFFIXES
 from tessera.functions import text
 from tessera.operators import audit, blocking, decide, features
 from tessera.plans import index, linkage, ranges
@@ -616,7 +616,7 @@ def finding_examples(w: World) -> DataFrame:
 def linkage_results(w: World) -> DataFrame:
     raw = w.records
     s1 = F.col("entity_id").startswith("S1-")
-    results, _ = linkage.infer(raw.where(s1), raw.where(~s1), cap=CAP, limit=LIMIT, stage1=100)
+    results, _ = linkage.infer(raw.where(s1), raw.where(~s1), cap=CAP, limit=LIMIT, stage1=DEFAULTS.stage1)
     return results.select("s1", F.array_join("ids", ",").alias("ids"))
 
 
