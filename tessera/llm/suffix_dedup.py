@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Tables, cut, lean, small_batches, utf8
+from .common import cut, lean, small_batches, utf8
 
 LENGTH, K = 200, 32
 #: Distinct windows of an anchor that are sorted in one task; the starts of an anchor with more are counted one by one.
@@ -383,14 +383,13 @@ def repeated_passages(docs: DataFrame, text: str = "text", sorted_at_once: int =
     columns are ignored."""
     small_batches(docs.sparkSession)
     # First the anchors that stand at two places, by document: narrow rows, no text moves.
-    # They are counted within each task before anything is dealt by anchor, and an anchor's rows then meet it in SALTS tasks.
-    tables = Tables(docs.sparkSession, "anchors")
-    found = tables.written(_anchor_rows(docs, text))
+    # An anchor's rows are dealt over SALTS tasks, which count their own before the counts meet.
+    found = _anchor_rows(docs, text).withColumn("salt", F.pmod(F.col("k1"), F.lit(SALTS)).cast("int")).repartition("h", "salt")
     place = F.xxhash64("k1", "q")
-    repeated = found.groupBy("h").agg(F.min(place).alias("z1"), F.max(place).alias("z2"), F.count("*").alias("m")).where("z1 <> z2").select("h", (F.col("m") > sorted_at_once).alias("crowded"))
-    dealt = repeated.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    wanted = cut(found.withColumn("salt", F.pmod(F.xxhash64("k1"), F.lit(SALTS)).cast("int")).join(dealt, ["h", "salt"]).groupBy("k1").agg(F.collect_set(F.struct("h", "q", "crowded")).alias("qs")))
-    tables.remove(found)
+    counted = found.groupBy("h", "salt").agg(F.min(place).alias("z1"), F.max(place).alias("z2"), F.count("*").alias("m"))
+    repeated = counted.groupBy("h").agg(F.min("z1").alias("z1"), F.max("z2").alias("z2"), F.sum("m").alias("m"), F.collect_set("salt").alias("salts")).where("z1 <> z2")
+    dealt = repeated.select("h", F.explode("salts").alias("salt"), (F.col("m") > sorted_at_once).alias("crowded"))
+    wanted = cut(found.join(dealt, ["h", "salt"]).groupBy("k1").agg(F.collect_set(F.struct("h", "q", "crowded")).alias("qs")))
     crowded = not wanted.where(F.exists("qs", lambda x: x["crowded"])).isEmpty()
     # Then the windows of those, with their bytes once in a batch: sorted under their anchor, or counted start by start.
     texts = _texts(docs, text).repartition("k1")
