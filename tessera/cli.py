@@ -52,7 +52,7 @@ def train(a: argparse.Namespace) -> int:
     rows = rows.join(tsv.first_ids(rows, a.training_entity_limit, a.country), "entity_id", "left_semi").drop("_ord")
     found = index.from_files(spark, _targets(a, "train"), a.index_db or f"{a.output_dir}/train_index", a.country, a.target_limit, a.multiline)
     truth = tsv.read_truth(spark, tsv.truth_path(a.data_root)).select("s1", F.explode("ids").alias("t"))
-    model, sweep = linkage.train(rows, None, truth, a.validation_fraction, DEFAULTS.seed, found=found, max_pairs=a.max_pairs or DEFAULTS.max_pairs, **_options(a))
+    model, sweep = linkage.train(rows, None, truth, a.validation_fraction, DEFAULTS.seed, a.iterations, found, a.max_pairs or DEFAULTS.max_pairs, **_options(a))
     model.save(a.model, spark)
     best = sweep.orderBy(F.desc("f"), F.desc("threshold")).first().asDict()
     _report(spark, f"{a.output_dir}/training_summary.json", {"model_kind": model.kind, "model_sha256": bundle_sha256(spark, a.model), "threshold": model.threshold, "grid_best": best, "country": a.country or "all"})
@@ -206,6 +206,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--training-entity-limit", type=int, default=50_000)
     p.add_argument("--validation-fraction", type=float, default=DEFAULTS.validation_fraction)
     p.add_argument("--max-pairs", type=int)
+    p.add_argument("--iterations", type=int, default=120)
     p = command("infer", infer, blocks=True)
     p.add_argument("--output-dir", default="output")
     p.add_argument("--split", choices=("train", "test"), default="test")

@@ -139,6 +139,12 @@ def name_normalise(w: World) -> DataFrame:
     return w.norm.select("entity_id", "name_clean", "name_core", "token_sort")
 
 
+@_query(r"""SELECT doc_id, sha256(clean) AS clean_sha256, sha256(strip_accents(clean)) AS folded_sha256 FROM (SELECT doc_id, trim(regexp_replace(replace(replace(lower(nfc_normalize(coalesce(text, ''))), 'ß', 'ss'), '&', ' and '), '[^\p{L}\p{N}_]+', ' ', 'g')) AS clean FROM documents)""")
+def folded_documents(w: World) -> DataFrame:
+    docs = w.spark.read.parquet(f"{w.sf_dir}/documents.parquet").select("doc_id", text.folded(F.col("text")).alias("x"))
+    return docs.select("doc_id", F.sha2(F.col("x.clean").cast("binary"), 256).alias("clean_sha256"), F.sha2(F.col("x.folded").cast("binary"), 256).alias("folded_sha256"))
+
+
 @_query("SELECT entity_id, address AS address_clean, array_to_string(numbers, ' ') AS numbers FROM norm")
 def address_expand(w: World) -> DataFrame:
     return w.norm.select("entity_id", "address_clean", F.array_join("numbers", " ").alias("numbers"))

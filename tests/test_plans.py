@@ -11,6 +11,7 @@ from tessera.operators import audit, blocking, decide, features
 from tessera.plans import index, linkage, ranges
 from tessera.session import read_json, write_json
 from tessera.sources import tsv
+from tessera.streaming.incremental import link_stream
 
 REC = "entity_id string, business_name string, business_address string, country string"
 NAMES = ("Acme Foods Ltd", "Delta Motors", "Cedar Pharma Inc", "River Bakery", "Harbor Studio LLC")
@@ -177,3 +178,26 @@ def test_command_line(spark, tmp_path, capsys):
     assert run("blocking", "--output", f"{out}/b.json", "--validation-fraction", "1.0") == 0
     assert json.loads((tmp_path / "out" / "b.json").read_text())["recall_50"] > 0.9
     assert run("synthetic") == 0
+
+
+def test_train_on_the_command_line(spark, tmp_path):
+    data, out = _data(tmp_path / "data"), f"{tmp_path}/out"
+    run = lambda *a: cli.main([a[0], "--data-root", data, "--output-dir", out, "--model", f"{out}/model", *a[1:]])
+    assert run("train", "--iterations", "2", "--stage1", "0") == 0
+    report = json.loads((tmp_path / "out" / "training_summary.json").read_text())
+    assert report["model_kind"] == "trees" and 0 <= report["threshold"] <= 1
+    assert run("infer", "--stage1", "0") == 0
+    assert json.loads((tmp_path / "out" / "inference_summary.json").read_text())["model_sha256"] == report["model_sha256"]
+    assert tsv.read_output(spark, f"{out}/matching_results.tsv").count() == 30
+
+
+def test_stream_links_each_batch_as_infer_does(spark, tmp_path):
+    targets = spark.createDataFrame(_records(20, 2), REC)
+    sources = spark.createDataFrame(_records(10, 1), REC)
+    sources.write.parquet(f"{tmp_path}/in")
+    new = spark.readStream.schema(REC).parquet(f"{tmp_path}/in")
+    for _ in range(2):  # the second run finds nothing new
+        link_stream(new, targets, f"{tmp_path}/out", f"{tmp_path}/state", cap=5, limit=50, stage1=None).awaitTermination()
+    want = {r.s1: r.ids for r in linkage.infer(sources, targets, cap=5, limit=50, stage1=None)[0].collect()}
+    got = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert {r.s1: r.ids for r in got} == want and len(got) == 10 and any(want.values())
