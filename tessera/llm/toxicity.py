@@ -34,6 +34,8 @@ BASE, OWN = 1500, 4096
 #: Bytes of an n-gram, and how many standard errors the toxic rows' share of it must be above the ordinary rows'. Where no
 #: n-gram is, as in small samples, the next lower demand counts.
 GRAM, SURE = 7, (7.0, 5.0, 4.0)
+#: Shares in which the n-grams of all rows are counted, one after the other: the driver holds one at a time.
+PARTS = 4
 #: The labelled rows used for fitting: so many of either class at most, none longer than so many characters.
 FIT_ROWS, FIT_CHARS = 4000, 20_000
 CUT_SCORE = 0.7
@@ -73,24 +75,32 @@ def _grams(text: bytes) -> np.ndarray:
     return out
 
 
+def _rows_of(texts: list[bytes], part: int) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of one of PARTS shares, by remainder, and how many rows hold each."""
+    grams = (_grams(x) for x in texts)
+    return np.unique(np.concatenate([np.unique(g[g % np.uint64(PARTS) == part]) for g in grams]), return_counts=True)
+
+
 def _apart(toxic: list[bytes], ordinary: list[bytes]) -> np.ndarray:
     """The n-grams, sorted, that significantly more toxic than ordinary rows hold."""
-    def rows_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        return np.unique(np.concatenate([np.unique(_grams(x)) for x in texts]), return_counts=True)
-
-    (gram, here), (other, there) = rows_of(toxic), rows_of(ordinary)
-    if not len(gram) or not len(other):
-        return gram[here >= 3]
-    at = np.minimum(np.searchsorted(other, gram), len(other) - 1)
-    there = np.where(other[at] == gram, there[at], 0)
-    a, b, both = here / len(toxic), there / len(ordinary), (here + there) / (len(toxic) + len(ordinary))
-    error = np.sqrt(both * (1 - both) * (1 / len(toxic) + 1 / len(ordinary))) + 1e-9
-    odds = np.log((here + 0.5) / (len(toxic) + 1)) - np.log((there + 0.5) / (len(ordinary) + 1))
+    found: dict[float, list[np.ndarray]] = {sure: [] for sure in SURE}
+    for part in range(PARTS):  # the n-grams that are counted at once
+        (gram, here), (other, there) = (_rows_of(texts, part) for texts in (toxic, ordinary))
+        if len(other):
+            at = np.minimum(np.searchsorted(other, gram), len(other) - 1)
+            there = np.where(other[at] == gram, there[at], 0)
+        else:
+            there = np.zeros(len(gram), np.int64)
+        a, b, both = here / len(toxic), there / len(ordinary), (here + there) / (len(toxic) + len(ordinary))
+        error = np.sqrt(both * (1 - both) * (1 / len(toxic) + 1 / len(ordinary))) + 1e-9
+        odds = np.log((here + 0.5) / (len(toxic) + 1)) - np.log((there + 0.5) / (len(ordinary) + 1))
+        for sure in SURE:
+            found[sure].append(gram[((a - b) / error > sure) & (odds > 1.5) & (here >= 3)])
     for sure in SURE:
-        found = gram[((a - b) / error > sure) & (odds > 1.5) & (here >= 3)]
-        if len(found):
+        grams = np.sort(np.concatenate(found[sure]))
+        if len(grams):
             break
-    return found
+    return grams
 
 
 def _parts(text: bytes, grams: np.ndarray) -> list[bytes]:

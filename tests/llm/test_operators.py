@@ -87,6 +87,18 @@ def test_toxicity_of_stems_and_of_rare_words():
     assert one(b"") < 0.7
 
 
+def test_toxicity_counts_few_grams_at_once():
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    toxic, ordinary = [rng.bytes(200) + b" foul words" for _ in range(50)], [rng.bytes(4000) for _ in range(200)]
+    tracemalloc.start()
+    found = toxicity._apart(toxic, ordinary)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 14 * sum(map(len, ordinary)) and set(toxicity._grams(b" foul words")) == set(found)
+
+
 def test_toxicity_edges(spark):
     rows = [(1, None), (2, ""), (3, "a b"), (3, "a b"), (None, "a b"), (5, "long " * 100_000)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("PREDICTED", F.lit("x"))
