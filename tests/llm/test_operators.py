@@ -245,6 +245,47 @@ def test_near_lines_against_brute_force(spark):
     assert len(want) > 100 and got <= want and len(got) >= 0.97 * len(want), (len(got), len(want))
 
 
+def test_all_shared_buckets_are_kept(spark):
+    rows = [(1, list(range(1, 10)))] + [(10 + k, [k]) for k in range(1, 10)] + [(30, [99])]
+    keys = spark.createDataFrame(rows, "k1 long, ks array<long>")
+    got = [(r.k, r.k1, r.hub) for part in range(line_dedup.PASSES) for r in line_dedup._buckets(keys, part).collect()]
+    assert sorted(got) == sorted((k, i, 1) for k in range(1, 10) for i in (1, 10 + k))
+
+
+def test_keys_of_lines_that_share_enough_meet(spark):
+    """Every fifth word changed: no pair is without a shared key, nor is a pair of short similar lines."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 9)))
+    pairs = []
+    for n in (40, 60, 90):
+        for _ in range(100):
+            base = [word() for _ in range(n)]
+            pairs.append((" ".join(base), " ".join(word() if k % 5 == 2 else w for k, w in enumerate(base))))
+    for n in range(5, 32):
+        for _ in range(20):
+            base = [rng.choice("abcdefg ") for _ in range(n)]
+            near = list(base)
+            for k in rng.sample(range(n), n // 5):
+                near[k] = "z"
+            pairs.append(("".join(base), "".join(near)))
+    df = spark.createDataFrame(pairs, "p string, q string")
+    keys = lambda c: line_dedup.shingle_keys(F.col(c), F.split(c, " "))
+    assert df.where(~F.arrays_overlap(keys("p"), keys("q"))).count() == 0
+
+
+def test_letter_counts_rule_no_near_line_out(spark):
+    rng = random.Random(12)
+    rows = []
+    for i in range(150):
+        base = "".join(rng.choice("etaoinsr hldu") for _ in range(rng.randint(5, 60)))
+        rows += [(2 * i, " ".join(base.split())), (2 * i + 1, " ".join("".join(rng.choice("xe") if rng.random() < 0.1 else c for c in base).split()))]
+    rows = [(i, t) for i, t in {t: i for i, t in rows if t}.items() for i, t in [(t, i)]]
+    df = spark.createDataFrame(rows, "i long, t string").withColumn("w", F.array_distinct(F.split("t", " ")))
+    df = df.select("i", "t", F.size("w").alias("n"), F.length("t").alias("len"), F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"), *line_dedup._letters(F.col("t"), F.col("w")))
+    both = df.select(F.struct("*").alias("x")).crossJoin(df.select(F.struct("*").alias("y"))).where("5 * levenshtein(x.t, y.t) <= greatest(length(x.t), length(y.t))")
+    assert both.count() > len(rows) and both.where(~line_dedup._near("x", "y", 0.8)).count() == 0
+
+
 def test_short_lines(spark):
     import corpus_pipeline
 
