@@ -13,10 +13,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, lean, small_batches, utf8
+from .common import Tables, lean, small_batches, utf8
 
 LENGTH, K = 200, 32
 #: Distinct windows of an anchor that are sorted in one task; the starts of an anchor with more are counted one by one.
@@ -175,6 +176,17 @@ def sort_suffixes(buf: np.ndarray, hashes: Hashes, start: np.ndarray, segment: n
     return order
 
 
+def _may_repeat(codes: np.ndarray) -> np.ndarray:
+    """Places of the codes that occur more than once. Equal strings have equal codes: a start with a code of its own cannot
+    repeat and need not be sorted, and the others mostly agree over LENGTH bytes, which takes one comparison to see."""
+    by = np.argsort(codes)
+    same = codes[by[1:]] == codes[by[:-1]]
+    more = np.zeros(len(codes), bool)
+    more[by[1:][same]] = True
+    more[by[:-1][same]] = True
+    return np.flatnonzero(more)
+
+
 def repeated_starts(windows: list[bytes], counts: list[int], offsets: list[int], groups: list[int]) -> list[np.ndarray]:
     """Which starts of each window repeat. offsets: the anchor's place in the window; groups: its anchor, in runs.
 
@@ -192,9 +204,10 @@ def repeated_starts(windows: list[bytes], counts: list[int], offsets: list[int],
     which = np.repeat(np.arange(len(some)), n)
     inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     key = np.repeat(np.unique(group[some], return_inverse=True)[1], n).astype(np.int64) * 1024 + (np.repeat(np.array(offsets)[some], n) - inner + 512)
-    by = np.argsort(key, kind="stable")
-    start, key, which, inner = (at[which] + inner)[by], key[by], which[by], inner[by]
-    hashes = Hashes(buf)
+    start, hashes = at[which] + inner, Hashes(buf)
+    may = _may_repeat(hashes.at(start, LENGTH) + key.astype(np.uint64) * _ODD[1])
+    by = may[np.argsort(key[may], kind="stable")]
+    start, key, which, inner = start[by], key[by], which[by], inner[by]
     order = sort_suffixes(buf, hashes, start, key)
     s = start[order]
     next_same = np.flatnonzero((key[1:] == key[:-1]) & (_common(hashes, s[:-1], s[1:]) == LENGTH))
@@ -354,14 +367,18 @@ def _removed(held: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for k1, k2, text, pairs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                begins = np.zeros(len(text) + 1, np.int32)
-                for p in pairs:
-                    q = p["q"]
-                    start = (q >> 16) - (q >> 8 & 255)
-                    hit = np.flatnonzero(np.frombuffer(p["mask"], np.uint8)) + start
-                    begins[hit] += 1
-                    begins[hit + LENGTH] -= 1
+            # All masks of the batch at once: to each start that repeats its text and its place in it.
+            pairs = batch.column(3).flatten()
+            q, masks = (pairs.field(c) for c in ("q", "mask"))
+            q, sizes = q.to_numpy(), pc.binary_length(masks).to_numpy()
+            hit = np.flatnonzero(np.frombuffer(b"".join(masks.to_pylist()), np.uint8))
+            ends = np.cumsum(sizes)
+            pair = np.searchsorted(ends, hit, "right")
+            place = hit - (ends - sizes)[pair] + ((q >> 16) - (q >> 8 & 255))[pair]
+            bounds = np.searchsorted(pair, np.concatenate([[0], np.cumsum(pc.list_value_length(batch.column(3)).to_numpy())]))
+            for i, (k1, k2, text) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True)):
+                own = place[bounds[i]: bounds[i + 1]]
+                begins = np.bincount(own, minlength=len(text) + 1) - np.bincount(own + LENGTH, minlength=len(text) + 1)
                 gone = np.cumsum(begins[:-1]) > 0
                 spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
                 rest = np.frombuffer(text, np.uint8)[~gone].tobytes()
@@ -380,19 +397,22 @@ def repeated_passages(docs: DataFrame, text: str = "text", sorted_at_once: int =
     more stands in another row loses all of it. Rows may repeat an id or have none; an empty table gives no rows; other
     columns are ignored."""
     small_batches(docs.sparkSession)
+    written = Tables(docs.sparkSession, "passages").written
     # First the anchors that stand at two places, by document: narrow rows, no text moves.
     found = _anchor_rows(docs, text).repartition("h")
     place = F.xxhash64("k1", "q")
     repeated = found.groupBy("h").agg(F.min(place).alias("z1"), F.max(place).alias("z2"), F.count("*").alias("m")).where("z1 <> z2").select("h", (F.col("m") > sorted_at_once).alias("crowded"))
-    wanted = cut(found.join(repeated, "h").groupBy("k1").agg(F.collect_set(F.struct("h", "q", "crowded")).alias("qs")))
+    wanted = written(found.join(repeated, "h").groupBy("k1").agg(F.collect_set(F.struct("h", "q", "crowded")).alias("qs")))
     crowded = not wanted.where(F.exists("qs", lambda x: x["crowded"])).isEmpty()
     # Then the windows of those, with their bytes once in a batch: sorted under their anchor, or counted start by start.
     texts = _texts(docs, text).repartition("k1")
-    windows = _window_rows(texts.join(wanted, "k1").select("k1", "k2", "t", "qs"))
+    # Written once: the sort, the counts and the way back all read them.
+    windows = written(_window_rows(texts.join(wanted, "k1").select("k1", "k2", "t", "qs")))
     carriers = windows.where(F.col("bytes").isNotNull())
     masks = _decided(carriers.where(~F.col("crowded")).repartition("h").sortWithinPartitions("h"))
     if crowded:
         masks = masks.unionByName(_counted(carriers.where("crowded")))
+    masks = written(masks)
     hits = windows.select("h", "w", "k1", "k2", "q").join(masks, ["h", "w"]).groupBy("k1", "k2").agg(F.collect_list(F.struct("q", "mask")).alias("hits"))
     gone = _removed(texts.join(hits.withColumnRenamed("k2", "key2"), "k1").where("k2 = key2").select("k1", "k2", "t", "hits")).dropDuplicates(["k1", "k2"])
     rows = _keys(docs, text)

@@ -336,6 +336,18 @@ def _repeated(texts):
     return out
 
 
+def test_suffixes_that_cannot_repeat_are_not_sorted(monkeypatch):
+    """30 windows around one anchor, two of them with a shared stretch: only starts in it are sorted."""
+    rng = np.random.default_rng(3)
+    windows = [bytes(rng.integers(97, 123, 369).astype(np.uint8)) for _ in range(30)]
+    windows[7] = windows[7][:40] + windows[3][40:260] + windows[7][260:]
+    sorted_, real = [], suffix_dedup.sort_suffixes
+    monkeypatch.setattr(suffix_dedup, "sort_suffixes", lambda buf, hashes, start, segment: sorted_.append(len(start)) or real(buf, hashes, start, segment))
+    got = suffix_dedup.repeated_starts(windows, [1] * 30, [100] * 30, [5] * 30)
+    assert [np.flatnonzero(x).tolist() for x in got] == [list(range(40, 61)) if k in (3, 7) else [] for k in range(30)]
+    assert sum(sorted_) == 42
+
+
 @pytest.mark.parametrize("at_once", [20_000, 1])
 def test_suffix_dedup_against_brute_force(spark, docs, at_once):
     rng = random.Random(6)
