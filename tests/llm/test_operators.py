@@ -286,6 +286,12 @@ def test_letter_counts_rule_no_near_line_out(spark):
     assert both.count() > len(rows) and both.where(~line_dedup._near("x", "y", 0.8)).count() == 0
 
 
+def test_pairs_of_few_words_are_held_to_their_distance(spark):
+    rows = [("anagrams of one line", "one line of anagrams", False), ("anagrams of one line", "anagrams of one lime", True), ("ab", None, True)]
+    df = spark.createDataFrame(rows, "p string, q string, near boolean").select(F.struct(F.col("p").alias("s")).alias("x"), F.struct(F.col("q").alias("s")).alias("y"), "near")
+    assert df.where(line_dedup._close("x", "y", 0.8) != F.col("near")).count() == 0
+
+
 def test_short_lines(spark):
     import corpus_pipeline
 
