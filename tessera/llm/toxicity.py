@@ -14,6 +14,7 @@ threshold, on labelled rows that the dictionary used for them has not seen: two
 from __future__ import annotations
 
 import math
+import pickle
 import re
 import zlib
 from collections import Counter
@@ -25,7 +26,7 @@ import zstandard as zs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import give_back, small_batches, utf8
+from .common import give_back, lean, small_batches, utf8
 
 #: Bytes of a window; windows end at white space where there is some.
 WINDOW = 40
@@ -223,15 +224,25 @@ class CompressionToxicity:
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, chars: int = FIT_CHARS) -> CompressionToxicity:
-    """Fit on a bounded sample of labelled rows that are not held out: `rows` of either class at most, in hash order."""
+    """Fit on a bounded sample of labelled rows that are not held out: `rows` of either class at most, in hash order.
+
+    The sample meets in one task, which fits: the driver gets the finished model only, as its memory is the least."""
+    small_batches(docs.sparkSession)
     sides = []
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("_label"))
     for y in (0, 1):
         sides.append(known.where(F.col("_label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
     sample = F.broadcast(sides[0].unionByName(sides[1]))  # 2 * rows ids at most
     got = docs.select("doc_id", "text").where(F.col("text").isNotNull() & (F.length("text") <= chars)).join(sample, "doc_id")
-    got = got.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(2 * rows).select("_label", "text").collect()
-    return CompressionToxicity.fit([(int(r[0]), r[1].encode()) for r in got])
+    got = got.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(2 * rows).select(F.col("_label").cast("int"), utf8("text").alias("_text")).coalesce(1)
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+        if seen:
+            yield pa.record_batch([pa.array([pickle.dumps(CompressionToxicity.fit(seen))], pa.binary())], names=["model"])
+
+    made = got.mapInArrow(lean(fitted), "model binary").collect()
+    return pickle.loads(made[0][0]) if made else CompressionToxicity.fit([])
 
 
 def score(docs: DataFrame, model: CompressionToxicity, text: str = "text", names: tuple[str, str] = ("score", "predicted")) -> DataFrame:

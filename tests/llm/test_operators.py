@@ -99,6 +99,19 @@ def test_toxicity_counts_few_grams_at_once():
     assert peak < 14 * sum(map(len, ordinary)) and set(toxicity._grams(b" foul words")) == set(found)
 
 
+def test_toxicity_is_fitted_by_an_executor(spark, monkeypatch):
+    """The driver has the least memory: it gets the model that a fit of its own would give, and fits nothing itself."""
+    rows = [(k, f"{'vile scoundrel' if k % 3 == 0 else 'fine person'} number {k} of {k % 7}") for k in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(k, 0, int(k % 3 == 0)) for k, _ in rows], "doc_id long, quality int, toxic int")
+    known = {r.doc_id for r in df.where(~toxicity.held_out()).collect()}
+    want = toxicity.CompressionToxicity.fit([(int(k % 3 == 0), x.encode()) for k, x in rows if k in known])
+    monkeypatch.setattr(toxicity.CompressionToxicity, "fit", lambda rows: pytest.fail("fitted by the driver"))
+    got = toxicity.fit(df, labels)
+    assert want.toxic and (got.ordinary, got.toxic, got.cut) == (want.ordinary, want.toxic, want.cut)
+    assert np.array_equal(got.weights, want.weights) and np.array_equal(got.tail, want.tail)
+
+
 def test_toxicity_edges(spark):
     rows = [(1, None), (2, ""), (3, "a b"), (3, "a b"), (None, "a b"), (5, "long " * 100_000)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("PREDICTED", F.lit("x"))
