@@ -286,6 +286,48 @@ def test_keys_of_lines_that_share_enough_meet(spark):
     assert df.where(~F.arrays_overlap(keys("p"), keys("q"))).count() == 0
 
 
+def test_rare_shingles_name_the_buckets(spark):
+    """Lines whose common word pairs are less than what near lines share do not meet in the buckets of those."""
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+    common = [word() for _ in range(20)]
+    own = [[word() for _ in range(20)] for _ in range(40)]
+    rows = [(k, " ".join(common + x)) for k, x in enumerate(own)] + [(100, " ".join(common + own[0][:-2] + [word(), word()]))]
+    texts = spark.createDataFrame(rows, "id long, norm string")
+    assert all(len(x) >= line_dedup.LARGE for _, x in rows)
+    keys = texts.select(F.col("id").alias("k1"), line_dedup.shingle_keys(F.col("norm"), F.split("norm", " "), line_dedup._frequencies(texts)).alias("ks"))
+    got = {(r.k1, r.g) for part in range(line_dedup.PASSES) for r in line_dedup._buckets(keys, part).collect()}
+    assert got == {(0, 2), (100, 2)}
+
+
+@pytest.mark.parametrize("few", [1, 8])
+def test_large_and_small_buckets_give_the_same(spark, few, monkeypatch):
+    """Chains of near lines, with all buckets of more than two rows going by the hub or not."""
+    monkeypatch.setattr(line_dedup, "FEW", few)
+    rng = random.Random(14)
+    rows, line = [], ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(30)]
+    for k in range(12):
+        rows.append((k, " ".join(line)))
+        line = list(line)
+        line[2 * k] = "other" * (k % 2) + str(k)
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id for r in got.where("lines_removed = 0").collect()} == {0}
+
+
+def test_distances_of_long_lines_by_pieces(spark):
+    rng = random.Random(15)
+    pairs = []
+    for k, share in enumerate((0.02, 0.05, 0.1, 0.18, 0.19, 0.2, 0.21, 0.25, 0.5) * 3):
+        base = [rng.choice("abcdefgh ") for _ in range(1_500 + 200 * (k % 5))]
+        near = [rng.choice(("", "é", c + "y")) if rng.random() < share else c for c in base]
+        pairs.append((k, "x" + "".join(base) + "x", "y" + "".join(near) + "y"))
+    df = spark.createDataFrame(pairs, "k long, p string, q string")
+    texts = df.select(F.col("k").alias("id"), F.col("p").alias("norm")).union(df.select(F.col("k") + 1000, "q"))
+    got = {r.a for r in line_dedup._similar(df.select(F.col("k").alias("a"), (F.col("k") + 1000).alias("b")), texts, 0.8).collect()}
+    want = {r.k for r in df.where("5 * levenshtein(p, q) <= greatest(length(p), length(q))").collect()}
+    assert got == want and 6 < len(want) < len(pairs)
+
+
 def test_letter_counts_rule_no_near_line_out(spark):
     rng = random.Random(12)
     rows = []
